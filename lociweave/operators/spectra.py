@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import bases as B
 from .windows import PAIR, TRIO, columns, kmers, window_counts, windows
@@ -38,23 +38,27 @@ def di_classes(spark: SparkSession) -> DataFrame:
     )
 
 
-def _zero_fill(counts: DataFrame, dim: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join onto (keys present in the source) x (fixed classes)."""
-    if keys:
-        frame = source.select(*keys).distinct().join(F.broadcast(dim))
-    else:
-        frame = dim
-    return frame.join(counts, [*keys, "oriType", "mutType"], "left")
+def _with_zero_rows(counts: DataFrame, dim: DataFrame, source: DataFrame, keys: Sequence[str],
+                    numbers: Sequence[str]) -> DataFrame:
+    """Sum counts per key and class, with a zero row for every (key in source) x (fixed class).
+
+    The zero rows join the aggregate as a union: no join, and no null filter that
+    the optimizer would push below the counting of raw windows.
+    """
+    frame = source.select(*keys).distinct().join(F.broadcast(dim)) if keys else dim
+    classes = [c for c in dim.columns]
+    zeros = frame.select(*keys, *classes, *[F.lit(0).cast(dict(counts.dtypes)[c]).alias(c) for c in numbers])
+    return (counts.select(*keys, *classes, *numbers).unionByName(zeros)
+            .groupBy(*keys, *classes).agg(*[F.sum(c).alias(c) for c in numbers]))
 
 
 def _by_species(wide: DataFrame, keys: Sequence[str], lead: Sequence[str] = ()) -> DataFrame:
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     return wide.select(
         *keys,
         *lead,
         F.inline(F.array(
-            F.struct(F.lit("B").alias("species"), zero("mut_b").alias("mutNum"), zero("total").alias("totalRootNum")),
-            F.struct(F.lit("C").alias("species"), zero("mut_c").alias("mutNum"), zero("total").alias("totalRootNum")),
+            F.struct(F.lit("B").alias("species"), F.col("mut_b").alias("mutNum"), F.col("total").alias("totalRootNum")),
+            F.struct(F.lit("C").alias("species"), F.col("mut_c").alias("mutNum"), F.col("total").alias("totalRootNum")),
         )),
     )
 
@@ -71,31 +75,29 @@ def informative_tri(wa="win_a", wb="win_b", wc="win_c") -> Column:
     )
 
 
-def _tri_counts(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raw window counts -> (keys, oriType, mutType, mut_b, mut_c, total)."""
-    folded = raw.select(
-        *keys,
-        B.canon_tri("win_a").alias("oriType"),
-        B.canon_alt("win_a", B.base_at("win_b", 2)).alias("_vb"),
-        B.canon_alt("win_a", B.base_at("win_c", 2)).alias("_vc"),
-        "n",
-    )
-    alts = F.filter(F.array(*[F.lit(b) for b in BASES]), lambda v: v != B.base_at("oriType", 2))
-    return (
-        folded.withColumn("_alt", F.explode(alts))
-        .groupBy(*keys, "oriType", B.tri_label("oriType", "_alt").alias("mutType"))
-        .agg(
-            F.sum(F.when(F.col("_vb") == F.col("_alt"), F.col("n")).otherwise(0)).alias("mut_b"),
-            F.sum(F.when(F.col("_vc") == F.col("_alt"), F.col("n")).otherwise(0)).alias("mut_c"),
-            F.sum("n").alias("total"),
+def _tri_spectrum(raw: DataFrame, aln: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of informative raw windows -> (keys, oriType, mutType, mut_b, mut_c, total)."""
+    hit = lambda v: F.when(F.col(v) == F.col("alt"), F.col("n")).otherwise(F.lit(0).cast("bigint"))
+    counts = (
+        raw.select(
+            *keys,
+            B.canon_tri("win_a").alias("oriType"),
+            B.canon_alt("win_a", B.base_at("win_b", 2)).alias("vb"),
+            B.canon_alt("win_a", B.base_at("win_c", 2)).alias("vc"),
+            "n",
+            F.explode(F.array(*[F.lit(b) for b in BASES])).alias("alt"),
         )
+        .where(F.col("alt") != B.base_at("oriType", 2))
+        .select(*keys, "oriType", B.tri_label("oriType", "alt").alias("mutType"),
+                hit("vb").alias("mut_b"), hit("vc").alias("mut_c"), F.col("n").alias("total"))
     )
+    dim = tri_classes(aln.sparkSession).select("oriType", "mutType")
+    return _with_zero_rows(counts, dim, aln, keys, ("mut_b", "mut_c", "total"))
 
 
 def tri_spectrum(aln: DataFrame, keys: Sequence[str] = (), with_ori: bool = False) -> DataFrame:
     """96-class spectrum of ingroups B and C: keys, species, mutType, mutNum, totalRootNum."""
-    counts = _tri_counts(window_counts(aln, 3, TRIO, keys, informative_tri()), keys)
-    wide = _zero_fill(counts, tri_classes(aln.sparkSession), aln, keys)
+    wide = _tri_spectrum(window_counts(aln, 3, TRIO, keys, informative_tri()), aln, keys)
     return _by_species(wide, keys, ("oriType", "mutType") if with_ori else ("mutType",))
 
 
@@ -115,8 +117,7 @@ def tri_spectrum_low_error(aln: DataFrame, keys: Sequence[str] = (), lowest: str
     )
     masked = aln.withColumn("seq_p", flags)
     raw = window_counts(masked, 3, (*TRIO, "p"), keys, informative_tri() & (F.col("win_p") == "111"))
-    wide = _zero_fill(_tri_counts(raw, keys), tri_classes(aln.sparkSession), aln, keys)
-    return _by_species(wide, keys, ("mutType",))
+    return _by_species(_tri_spectrum(raw, aln, keys), keys, ("mutType",))
 
 
 def tri_spectrum_weighted(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -132,26 +133,22 @@ def tri_spectrum_weighted(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame
                       & B.is_acgt("win_a") & B.is_acgt("win_b") & B.is_acgt("win_c"))
         .withColumn("_cls", B.site_class(a, b, c))
     )
+    # n sits inside the entries, so nothing here can move below the count
+    n = F.col("n").cast("double")
     entry = lambda label, mut, total: F.struct(
-        label.alias("mutType"), F.lit(mut).alias("m"), F.lit(total).alias("t"))
+        label.alias("mutType"), (mut * n).alias("mutNum"), (total * n).alias("totalRootNum"))
     unchanged = F.transform(
         F.filter(F.array(*[F.lit(x) for x in BASES]), lambda v: v != a),
-        lambda v: F.struct(B.sbst_label("win_a", v).alias("mutType"), F.lit(0.0).alias("m"), F.lit(1.0).alias("t")))
+        lambda v: F.struct(B.sbst_label("win_a", v).alias("mutType"), (0.0 * n).alias("mutNum"), n.alias("totalRootNum")))
     labels = (
         F.when(F.col("_cls") == "none", unchanged)
         .when(F.col("_cls") == "B", F.array(entry(B.sbst_label("win_a", b), 1.0, 1.0)))
         .when(F.col("_cls") == "C", F.array(entry(B.sbst_label("win_a", c), 1.0, 1.0)))
         .otherwise(F.array(entry(B.sbst_label("win_a", b), 0.5, 0.5), entry(B.sbst_label("win_b", a), 0.5, 0.5)))
     )
-    counts = (
-        raw.select(*keys, "n", F.inline(labels))
-        .groupBy(*keys, "mutType")
-        .agg(F.sum(F.col("m") * F.col("n")).alias("mut"), F.sum(F.col("t") * F.col("n")).alias("total"))
-        .withColumn("oriType", B.label_context("mutType"))
-    )
-    wide = _zero_fill(counts, tri_classes(aln.sparkSession), aln, keys)
-    return wide.select(*keys, "mutType", F.coalesce("mut", F.lit(0.0)).alias("mutNum"),
-                       F.coalesce("total", F.lit(0.0)).alias("totalRootNum"))
+    counts = raw.select(*keys, F.inline(labels))
+    dim = tri_classes(aln.sparkSession).select("mutType")
+    return _with_zero_rows(counts, dim, aln, keys, ("mutNum", "totalRootNum"))
 
 
 # ---- dinucleotides ---------------------------------------------------------
@@ -172,16 +169,20 @@ def di_spectrum(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ok = window_counts(aln, 4, TRIO, keys, informative_di()).select(
         *keys, mid("win_a").alias("o"), mid("win_b").alias("vb"), mid("win_c").alias("vc"), "n")
     changed = lambda species, v: F.when(
-        B.both_bases_differ("o", v), F.struct(F.lit(species).alias("species"), B.di_label("o", v).alias("mutType")))
+        B.both_bases_differ("o", v),
+        F.struct(F.lit(species).alias("species"), B.di_label("o", v).alias("mutType"), F.col("n").alias("n")))
+    # one row per class the window can add to: its original's classes get n in total
+    dim = di_classes(spark)
     totals = ok.groupBy(*keys, B.canon_doublet("o").alias("oriType")).agg(F.sum("n").alias("total"))
+    per_class = totals.join(F.broadcast(dim), "oriType").select(
+        *keys, "oriType", "mutType", F.lit(0).cast("bigint").alias("mut_b"), F.lit(0).cast("bigint").alias("mut_c"), "total")
+    hit = lambda s: F.when(F.col("e.species") == s, F.col("e.n")).otherwise(F.lit(0).cast("bigint"))
     muts = (
-        ok.select(*keys, "n", F.explode(F.array_compact(F.array(changed("B", "vb"), changed("C", "vc")))).alias("e"))
-        .groupBy(*keys, F.col("e.mutType").alias("mutType"))
-        .agg(F.sum(F.when(F.col("e.species") == "B", F.col("n")).otherwise(0)).alias("mut_b"),
-             F.sum(F.when(F.col("e.species") == "C", F.col("n")).otherwise(0)).alias("mut_c"))
-        .withColumn("oriType", F.left("mutType", F.lit(2)))
+        ok.select(*keys, F.explode(F.array_compact(F.array(changed("B", "vb"), changed("C", "vc")))).alias("e"))
+        .select(*keys, F.left("e.mutType", F.lit(2)).alias("oriType"), F.col("e.mutType").alias("mutType"),
+                hit("B").alias("mut_b"), hit("C").alias("mut_c"), F.lit(0).cast("bigint").alias("total"))
     )
-    wide = _zero_fill(muts, di_classes(spark), aln, keys).join(totals, [*keys, "oriType"], "left")
+    wide = _with_zero_rows(muts.unionByName(per_class), dim, aln, keys, ("mut_b", "mut_c", "total"))
     return _by_species(wide, keys, ("mutType",))
 
 
@@ -203,17 +204,11 @@ def _pair_change() -> Column:
 
 def tri_changes_pct(aln2: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Share of each of the 96 labels among all changes, in percent."""
-    counts = (
-        window_counts(aln2, 3, PAIR, keys, _pair_change())
-        .groupBy(*keys, B.sbst_label("win_a", B.base_at("win_b", 2)).alias("mutType"))
-        .agg(F.sum("n").alias("mutNum"))
-        .withColumn("oriType", B.label_context("mutType"))
-    )
-    full = _zero_fill(counts, tri_classes(aln2.sparkSession), aln2, keys)
-    totals = counts.groupBy(*keys).agg(F.sum("mutNum").alias("_all"))
-    joined = full.join(totals, list(keys), "left") if keys else full.join(F.broadcast(totals))
-    num = F.coalesce("mutNum", F.lit(0)).cast("bigint")
-    return joined.select(*keys, "mutType", num.alias("mutNum"), (num * 100.0 / F.col("_all")).alias("percentage"))
+    counts = window_counts(aln2, 3, PAIR, keys, _pair_change()).select(
+        *keys, B.sbst_label("win_a", B.base_at("win_b", 2)).alias("mutType"), F.col("n").alias("mutNum"))
+    full = _with_zero_rows(counts, tri_classes(aln2.sparkSession).select("mutType"), aln2, keys, ("mutNum",))
+    whole = F.sum("mutNum").over(W.partitionBy(*keys))  # 96 rows per key
+    return full.select(*keys, "mutType", "mutNum", (F.col("mutNum") * 100.0 / F.nullif(whole, F.lit(0))).alias("percentage"))
 
 
 def change_matrix(aln2: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -226,10 +221,8 @@ def change_matrix(aln2: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def change_totals(matrix: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Totals per category and type, with the percentage of all columns."""
     totals = matrix.groupBy(*keys, "category", "type").agg(F.sum("count").alias("total_count"))
-    whole = totals.groupBy(*keys).agg(F.sum("total_count").alias("_all"))
-    joined = totals.join(whole, list(keys)) if keys else totals.join(F.broadcast(whole))
-    return joined.select(*keys, "category", "type", "total_count",
-                         (F.col("total_count") * 100.0 / F.col("_all")).alias("percentage"))
+    whole = F.sum("total_count").over(W.partitionBy(*keys))  # a few classes per key
+    return totals.select(*keys, "category", "type", "total_count", (F.col("total_count") * 100.0 / whole).alias("percentage"))
 
 
 def sbst_ratio(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -250,12 +243,10 @@ def genome_trinucleotides(fasta: DataFrame, keys: Sequence[str] = ()) -> DataFra
     counts = (
         kmers(fasta, 3, keys).groupBy(*keys, "kmer").agg(F.count(F.lit(1)).alias("n"))
         .where(F.when(B.is_acgt("kmer"), F.col("n")) > 0)
-        .groupBy(*keys, B.canon_tri("kmer").alias("trinuc")).agg(F.sum("n").alias("num"))
+        .select(*keys, B.canon_tri("kmer").alias("trinuc"), F.col("n").alias("num"))
     )
     dim = tri_contexts(fasta.sparkSession).withColumnRenamed("oriType", "trinuc")
-    frame = fasta.select(*keys).distinct().join(F.broadcast(dim)) if keys else dim
-    return frame.join(counts, [*keys, "trinuc"], "left").select(
-        *keys, "trinuc", F.coalesce("num", F.lit(0)).cast("bigint").alias("num"))
+    return _with_zero_rows(counts, dim, fasta, keys, ("num",))
 
 
 def _letters(seq, letters: str) -> Column:

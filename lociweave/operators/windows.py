@@ -31,9 +31,10 @@ def windows(aln: DataFrame, width: int, sides: Sequence[str] = TRIO, keep: Seque
         *keep,
         *[F.upper(F.col(f"seq_{s}")).cast("binary").alias(f"_b_{s}") for s in sides],
         (_columns_count(sides) - (width - 1)).alias("_n"),
-    ).where("_n > 0")
-    exploded = prepared.select(
-        *keep, *[f"_b_{s}" for s in sides], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+    )
+    # no filter on _n: it would be pushed to the scan and recompute the sequences there
+    positions = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))
+    exploded = prepared.select(*keep, *[f"_b_{s}" for s in sides], F.explode(positions).alias("_i"))
     return exploded.select(
         *keep,
         (F.col("_i") - 1).alias("col"),
