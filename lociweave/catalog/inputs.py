@@ -71,7 +71,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = df.selectExpr(*[f"{e.replace('{g}', '')} as {n}" for n, e in prepared])
     if where:
         df = df.where(where)
-    return df.selectExpr(*[f"{e.replace('{g}', '')} as {n}" for n, e in final])
+    return df.selectExpr(*[f"{e.replace('{g}', '')} as {n.strip(chr(34))}" for n, e in final])
 
 
 def cte(*names: str) -> str:

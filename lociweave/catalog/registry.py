@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sites, spectra  # noqa: F401
+from . import spectra, sites, intervals  # noqa: F401
 from .base import CHECKS, QUERIES, Query
 
 
