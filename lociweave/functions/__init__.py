@@ -1 +1 @@
-from . import bases, coords, pairs, rates, splice  # noqa: F401
+from . import bases, coords, rates, splice  # noqa: F401
