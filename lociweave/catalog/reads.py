@@ -298,14 +298,14 @@ def _(spark, sf):
     return R.anchor_clusters(_positions(spark, sf))
 
 
-CL = f"""{INTRONS}, members as materialized (select sc || ':' || cast(floor(least(sp, ep) / 120) as varchar) as cluster, key, reads, ss as strand,
+CL = f"""{INTRONS}, members as materialized (select concat_ws(':', sc, least(sp, ep), greatest(sp, ep)) as cluster, key, reads, ss as strand,
    sc || '_' || sp || '_' || ss as s, ec || '_' || ep || '_' || es as e from introns where not trans)"""
 
 
 def _members(spark, sf):
     p = _positions(spark, sf)
-    window = F.floor(F.col("left") / 120).cast("string")
-    return p.withColumn("cluster", F.concat_ws(":", "chr", window)).select("cluster", "key", "reads", "strand", "start", "end")
+    span = F.concat_ws(":", "chr", F.col("left").cast("string"), F.col("right").cast("string"))
+    return p.withColumn("cluster", span).select("cluster", "key", "reads", "strand", "start", "end")
 
 
 @query("clusters_on_both_strands", f"{CL} select cluster from members group by 1 having count(distinct strand) = 2")
