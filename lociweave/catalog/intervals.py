@@ -143,7 +143,7 @@ SPLIT = f"""{ALL_SITES}, {inputs.cte('features')}, {MERGED},
 
 
 def _split(spark, sf):
-    return I.coding_split(T.all_sites(aln3(spark, sf)), features(spark, sf))
+    return I.coding_split(T.counted_sites(aln3(spark, sf)), features(spark, sf))
 
 
 @query("coding_split", f"{SPLIT} select * from split")

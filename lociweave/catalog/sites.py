@@ -92,8 +92,7 @@ def _(spark, sf):
    cast(sum(ob) as bigint) as sum_b, cast(sum(oc) as bigint) as sum_c from lwin
    where {ACGT3} group by 1""")
 def _(spark, sf):
-    w = T.located_windows(aln3(spark, sf), 3, ["block_id"]).where(
-        B.is_acgt("win_a") & B.is_acgt("win_b") & B.is_acgt("win_c"))
+    w = T.located_windows(aln3(spark, sf), 3, ["block_id"])
     return w.groupBy("block_id").agg(F.count(F.lit(1)).alias("n"), F.sum("off_a").alias("sum_a"),
                                      F.sum("off_b").alias("sum_b"), F.sum("off_c").alias("sum_c"))
 

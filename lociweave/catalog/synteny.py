@@ -277,10 +277,10 @@ def _(spark, sf):
 
 
 @query("natural_chromosome_order", f"""with {inputs.cte('aln3')}, c as (select distinct chr_a as chr from aln3)
-  select chr, cast(row_number() over (order by cast(regexp_extract(chr, '([0-9]+)', 1) as integer)) as integer) as rank from c""")
+  select chr, 'src' || lpad(regexp_extract(chr, '([0-9]+)', 1), 20, '0') as key from c order by key""")
 def _(spark, sf):
     chrs = aln3(spark, sf).select(F.col("chr_a").alias("chr")).distinct()
-    return N.ranked(chrs.withColumn("key", natural_key("chr")), [], "key", 1 << 30, "chr", largest=False).select("chr", "rank")
+    return chrs.withColumn("key", natural_key("chr")).orderBy("key")
 
 
 @query("column_orders", f"""{SEG}, {inputs.cte('ref_segments')} select 'chr_' || r.chr as r_chr, r.start as r_start, r."end" as r_end, s.chr as q_chr, s.start as q_start, s."end" as q_end, r.strand

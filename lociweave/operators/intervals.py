@@ -154,19 +154,19 @@ def mark_coding(sites: DataFrame, features: DataFrame, name: str = "coding", bin
 def coding_split(sites: DataFrame, features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per label: coding and non-coding substitutions; per original context: the same for originals.
 
-    sites: output of `all_sites` (species, oriType, sbstType, chrA, startA, endA).
-    Returns keys, species, kind ('s' or 'o'), label, cds, ncds.
+    sites: output of `counted_sites` (oriType, sbstB, sbstC, chrA, startA, endA). Returns
+    keys, species, kind ('s' or 'o'), label, cds, ncds. Sites are counted per (context,
+    labels, flag) before they are listed per species.
     """
-    placed = sites.select(*keys, "species", "oriType", "sbstType", F.col("chrA").alias("chr"),
+    placed = sites.select(*keys, "oriType", "sbstB", "sbstC", F.col("chrA").alias("chr"),
                           F.col("startA").alias("start"), F.col("endA").alias("end"))
-    marked = mark_coding(placed, features)
-    per = marked.groupBy(*keys, "species", "oriType", "sbstType", "coding").agg(F.count(F.lit(1)).alias("n"))
-    long_ = per.select(
-        *keys, "species", "coding", "n",
-        F.inline(F.array(F.struct(F.lit("o").alias("kind"), F.col("oriType").alias("label")),
-                         F.struct(F.lit("s").alias("kind"), F.col("sbstType").alias("label"))))).where("label <> '.'")
-    part = lambda flag: F.sum(F.when(F.col("coding") == flag, F.col("n")).otherwise(0)).cast("bigint")
-    return long_.groupBy(*keys, "species", "kind", "label").agg(part(True).alias("cds"), part(False).alias("ncds"))
+    per = mark_coding(placed, features).groupBy(*keys, "oriType", "sbstB", "sbstC", "coding").agg(F.count(F.lit(1)).alias("n"))
+    row = lambda sp, kind, label: F.struct(F.lit(sp).alias("species"), F.lit(kind).alias("kind"), F.col(label).alias("label"), F.col("n").alias("n"))
+    long_ = per.select(*keys, "coding", F.inline(F.array(
+        row("B", "o", "oriType"), row("C", "o", "oriType"), row("B", "s", "sbstB"), row("C", "s", "sbstC"))))
+    part = lambda flag: F.sum(F.when((F.col("coding") == flag) & (F.col("label") != "."), F.col("n")).otherwise(0)).cast("bigint")
+    out = long_.groupBy(*keys, "species", "kind", "label").agg(part(True).alias("cds"), part(False).alias("ncds"))
+    return out.where("label <> '.'")
 
 
 def annotate_spectrum(spectrum: DataFrame, split: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Per-site substitution tables with genome coordinates.
 
 A site's coordinate needs the number of bases before its column in each species.
-Windows of interest never hold a gap, so blocks are first cut at gap columns into
-gap-free segments; inside one, offset = segment offset + position.
+Windows of interest hold only A, C, G, T, so blocks are first cut into runs of columns
+where all species have one of the four; inside a run, offset = run offset + position.
 """
 
 from __future__ import annotations
@@ -18,48 +18,51 @@ from ..functions.coords import to_plus
 from .windows import TRIO
 
 GAP = ord("-")
+_BASE = np.zeros(256, bool)
+_BASE[[ord(c) for c in "ACGTacgt"]] = True
 
 
-def gap_free_runs(seqs: Sequence[str]) -> np.ndarray:
-    """Flat int array (column, length, bases before it in each sequence) per gap-free run."""
+def base_runs(seqs: Sequence[str]) -> np.ndarray:
+    """Flat int array (column, length, bases before it in each sequence) per run of plain bases."""
     codes = np.stack([np.frombuffer(s.encode("latin-1", "replace"), np.uint8) for s in seqs])
-    solid = codes != GAP
-    whole = np.concatenate(([False], solid.all(axis=0), [False]))
+    whole = np.concatenate(([False], _BASE[codes].all(axis=0), [False]))
     edges = np.flatnonzero(whole[1:] != whole[:-1])
     begin, end = edges[::2], edges[1::2]
-    before = np.concatenate((np.zeros((len(seqs), 1), np.int64), solid.cumsum(axis=1)), axis=1)
+    before = np.concatenate((np.zeros((len(seqs), 1), np.int64), (codes != GAP).cumsum(axis=1)), axis=1)
     return np.column_stack((begin, end - begin, before[:, begin].T)).astype(np.int64).ravel()
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _runs3(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-    return pd.Series([gap_free_runs(t) for t in zip(a, b, c)])
+    return pd.Series([base_runs(t) for t in zip(a, b, c)])
 
 
-def gap_free_segments(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """keep columns, `seg_col`, and per side the bytes `_b_x` and `off_x` (bases before the segment)."""
+# kept where it is: as a deterministic call it would be repeated in null filters at the scan
+_runs3 = _runs3.asNondeterministic()
+
+
+def base_segments(aln: DataFrame, keep: Sequence[str] = (), shortest: int = 1) -> DataFrame:
+    """Runs of at least `shortest` columns: keep, `seg_col`, and per side the bytes `_b_x` and `off_x`."""
     fields = 2 + len(TRIO)
     runs = aln.select(
         *keep, *[F.upper(F.col(f"seq_{s}")).cast("binary").alias(f"_s_{s}") for s in TRIO],
         _runs3("seq_a", "seq_b", "seq_c").alias("_runs"))
     each = runs.select(
-        *keep, *[f"_s_{s}" for s in TRIO],
-        F.explode(F.transform(
-            F.when(F.size("_runs") > 0, F.sequence(F.lit(0), (F.size("_runs") / fields).cast("int") - 1)),
-            lambda k: F.slice(F.col("_runs"), k * fields + 1, fields))).alias("_r"))
-    at = lambda i: F.element_at("_r", i)
-    return each.select(
+        *keep, *[f"_s_{s}" for s in TRIO], "_runs",
+        F.explode(F.when(F.size("_runs") > 0, F.sequence(F.lit(0), F.size("_runs") - fields, F.lit(fields)))).alias("_k"))
+    at = lambda i: F.get("_runs", F.col("_k") + i)
+    return each.where(at(1) >= shortest).select(
         *keep,
-        at(1).alias("seg_col"),
-        *[F.substring(F.col(f"_s_{s}"), (at(1) + 1).cast("int"), at(2).cast("int")).alias(f"_b_{s}") for s in TRIO],
-        *[at(3 + i).alias(f"off_{s}") for i, s in enumerate(TRIO)],
+        at(0).alias("seg_col"),
+        *[F.substring(F.col(f"_s_{s}"), (at(0) + 1).cast("int"), at(1).cast("int")).alias(f"_b_{s}") for s in TRIO],
+        *[at(2 + i).alias(f"off_{s}") for i, s in enumerate(TRIO)],
     )
 
 
 def located_windows(aln: DataFrame, width: int, keep: Sequence[str] = ()) -> DataFrame:
-    """Gap-free windows with `col` (0-based block column) and `off_x` (bases before the window)."""
-    seg = gap_free_segments(aln, keep).withColumn("_n", F.length("_b_a") - (width - 1))
-    positions = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))
+    """ACGT-only windows with `col` (0-based block column) and `off_x` (bases before the window)."""
+    seg = base_segments(aln, keep, width)
+    positions = F.sequence(F.lit(1), F.length("_b_a") - (width - 1))
     w = seg.select(*keep, "seg_col", *[f"_b_{s}" for s in TRIO], *[f"off_{s}" for s in TRIO],
                    F.explode(positions).alias("_i"))
     return w.select(
@@ -74,11 +77,13 @@ _PLACE = [f"{f}_{s}" for s in TRIO for f in ("chr", "start", "strand", "len")]
 
 
 def _informative(width: int) -> Column:
-    """Equal flanks; outgroup middle shared with an ingroup; only ACGT."""
-    mid = lambda s: F.substring(F.col(f"win_{s}"), 2, width - 2)
-    return (
-        B.flanks_equal("win_a", "win_b", "win_c") & ((mid("a") == mid("b")) | (mid("a") == mid("c")))
-        & B.is_acgt("win_a") & B.is_acgt("win_b") & B.is_acgt("win_c"))
+    """Equal flanks and outgroup middle shared with an ingroup (located windows are ACGT-only)."""
+    at = lambda s, i, n=1: F.substring(F.col(f"win_{s}"), i, n)
+    ends = F.lit(True)
+    for s in "bc":
+        ends = ends & (at("a", 1) == at(s, 1)) & (at("a", width) == at(s, width))
+    inner = width - 2
+    return ends & ((at("a", 2, inner) == at("b", 2, inner)) | (at("a", 2, inner) == at("c", 2, inner)))
 
 
 def _span(side: str, width: int, coords: str) -> tuple[Column, Column]:
@@ -110,17 +115,22 @@ def sbst_sites(aln: DataFrame, keep: Sequence[str] = (), coords: str = "base") -
     return w.select(*keep, *_place_columns(3, coords, lambda s: F.col(f"win_{s}")))
 
 
-def all_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Every counted site once per ingroup: `species`, 15 columns, oriType, sbstType ('.' if unchanged)."""
+def counted_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every counted site once: 15 columns, oriType, sbstB and sbstC ('.' if unchanged)."""
     w = located_windows(aln, 3, [*keep, *_PLACE]).where(_informative(3))
     changed = lambda s: F.when(B.base_at("win_a", 2) != B.base_at(f"win_{s}", 2),
                                B.sbst_label("win_a", B.base_at(f"win_{s}", 2))).otherwise(F.lit("."))
-    sites = w.select(*keep, *_place_columns(3, "base", lambda s: F.col(f"win_{s}")),
-                     B.canon_tri("win_a").alias("oriType"), changed("b").alias("_b"), changed("c").alias("_c"))
+    return w.select(*keep, *_place_columns(3, "base", lambda s: F.col(f"win_{s}")),
+                    B.canon_tri("win_a").alias("oriType"), changed("b").alias("sbstB"), changed("c").alias("sbstC"))
+
+
+def all_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every counted site once per ingroup: `species`, 15 columns, oriType, sbstType ('.' if unchanged)."""
+    sites = counted_sites(aln, keep)
     return sites.select(
-        *[c for c in sites.columns if c not in ("_b", "_c")],
-        F.inline(F.array(F.struct(F.lit("B").alias("species"), F.col("_b").alias("sbstType")),
-                         F.struct(F.lit("C").alias("species"), F.col("_c").alias("sbstType")))))
+        *[c for c in sites.columns if c not in ("sbstB", "sbstC")],
+        F.inline(F.array(F.struct(F.lit("B").alias("species"), F.col("sbstB").alias("sbstType")),
+                         F.struct(F.lit("C").alias("species"), F.col("sbstC").alias("sbstType")))))
 
 
 def doublet_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
