@@ -374,7 +374,6 @@ def _(spark, sf):
 @query("species_clusters")
 def _(spark, sf):
     projected, _v = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 2)
-    projected = projected.cache()
     clusters, _scores = M.best_kmeans(projected, "sample", k_max=6, seeds=range(1, 4))
     return M.cluster_table(projected, clusters, "sample")
 

@@ -11,7 +11,7 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import bases as B
+from ..session import cut_lineage
 
 # the 96 labels, sorted by name
 LABELS = sorted(f"{x}[{y}>{v}]{z}" for x in "ACGT" for y in "CT" for z in "ACGT" for v in "ACGT" if v != y)
@@ -34,7 +34,7 @@ def feature_vectors(table: DataFrame, species: str) -> DataFrame:
 
 def principal_components(vectors: DataFrame, species: str, k: int = 2) -> tuple[DataFrame, list[float]]:
     """Standardised features projected on k components (signs are arbitrary), and the explained variance."""
-    vectors = vectors.cache()  # one row per species, read by three fits
+    vectors = cut_lineage(vectors)  # one row per species, read by three fits
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(vectors)
     scaled = scaler.transform(vectors)
     model = PCA(k=k, inputCol="scaled", outputCol="pc").fit(scaled)
@@ -51,9 +51,9 @@ def vector_columns(df: DataFrame, key: str, column: str = "pc") -> DataFrame:
 def best_kmeans(projected: DataFrame, species: str, column: str = "pc", k_min: int = 2, k_max: int = 10,
                 seeds: Sequence[int] = range(1, 11)) -> tuple[DataFrame, dict[int, float]]:
     """k with the best silhouette (squared Euclidean) out of k_min..min(k_max, n - 1); best of several seeds per k."""
-    data = projected.select(species, F.col(column).alias("features"))
+    # dozens of fits follow: start them from stored rows, not from the spectra
+    data = cut_lineage(projected.select(species, F.col(column).alias("features")))
     n = data.count()
-    # many short passes over n small rows: no more partitions than the rows are worth
     data = data.coalesce(1 + n // 100_000).cache()
     scores, fits = {}, {}
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")

@@ -20,7 +20,7 @@ def spectra_of(spark, n=9):
 
 
 def test_map_finds_planted_clusters(spark):
-    out = {r["accession"]: r for r in species_map(spectra_of(spark)).collect()}
+    out = {r["accession"]: r for r in species_map(spectra_of(spark), k_max=4, seeds=range(1, 4)).collect()}
     assert len({r["cluster"] for r in out.values()}) == 3
     for i in range(9):
         assert out[f"s{i}"]["cluster"] == out[f"s{(i + 3) % 9}"]["cluster"] and out[f"s{i}"]["samples"] == 3
