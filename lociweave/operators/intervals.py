@@ -127,9 +127,11 @@ def overlap_count(a: DataFrame, b: DataFrame, name: str = "count", width: int =
         .unionByName(mark(queries, "start", 3, zero, zero, F.col("end")))
     )
     ran = scan(events, ["chr"], "pos", ["kind", "other"], width, sums={"begun": F.col("s"), "ended": F.col("e")})
-    at_end = ran.where("kind = 0").select("chr", F.col("other").alias("start"), F.col("pos").alias("end"), F.col("begun").alias("v"))
-    at_start = ran.where("kind = 3").select("chr", F.col("pos").alias("start"), F.col("other").alias("end"), (-F.col("ended")).alias("v"))
-    counts = at_end.unionByName(at_start).groupBy("chr", "start", "end").agg(F.sum("v").alias(name))
+    at_end, at_start = F.col("kind") == 0, F.col("kind") == 3
+    counts = ran.where(at_end | at_start).groupBy(
+        "chr", F.when(at_end, F.col("other")).otherwise(F.col("pos")).alias("start"),
+        F.when(at_end, F.col("pos")).otherwise(F.col("other")).alias("end"),
+    ).agg(F.sum(F.when(at_end, F.col("begun")).otherwise(-F.col("ended"))).alias(name))
     return a.join(counts, ["chr", "start", "end"]).select(*a.columns, name)
 
 

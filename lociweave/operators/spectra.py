@@ -28,14 +28,16 @@ def tri_classes(spark: SparkSession) -> DataFrame:
     )
 
 
+def di_labels() -> list[str]:
+    """The 78 `XY>ZW` classes: both bases differ, one of each pair of strand forms."""
+    pairs = [(x + y, b + c) for x in BASES for y in BASES for b in BASES for c in BASES if x != b and y != c]
+    return [f"{o}>{m}" for o, m in pairs
+            if o not in B.FLIPPED_DOUBLETS and f"{o}>{m}" not in B.FLIPPED_PALINDROME_CHANGES]
+
+
 def di_classes(spark: SparkSession) -> DataFrame:
     """78 classes: oriType, mutType."""
-    pairs = [(x + y, b + c) for x in BASES for y in BASES for b in BASES for c in BASES if x != b and y != c]
-    raw = spark.createDataFrame(pairs, "ori string, mut string")
-    return (
-        raw.select(B.di_label("ori", "mut").alias("mutType")).distinct()
-        .select(F.left("mutType", F.lit(2)).alias("oriType"), "mutType")
-    )
+    return spark.createDataFrame([(l[:2], l) for l in di_labels()], "oriType string, mutType string")
 
 
 def _with_zero_rows(counts: DataFrame, dim: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -164,25 +166,16 @@ def informative_di(wa="win_a", wb="win_b", wc="win_c") -> Column:
 
 def di_spectrum(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """78-class doublet spectrum of B and C; a change needs both bases to differ."""
-    spark = aln.sparkSession
     mid = lambda w: F.substring(F.col(w), 2, 2)
-    ok = window_counts(aln, 4, TRIO, keys, informative_di()).select(
-        *keys, mid("win_a").alias("o"), mid("win_b").alias("vb"), mid("win_c").alias("vc"), "n")
-    changed = lambda species, v: F.when(
-        B.both_bases_differ("o", v),
-        F.struct(F.lit(species).alias("species"), B.di_label("o", v).alias("mutType"), F.col("n").alias("n")))
-    # one row per class the window can add to: its original's classes get n in total
-    dim = di_classes(spark)
-    totals = ok.groupBy(*keys, B.canon_doublet("o").alias("oriType")).agg(F.sum("n").alias("total"))
-    per_class = totals.join(F.broadcast(dim), "oriType").select(
-        *keys, "oriType", "mutType", F.lit(0).cast("bigint").alias("mut_b"), F.lit(0).cast("bigint").alias("mut_c"), "total")
-    hit = lambda s: F.when(F.col("e.species") == s, F.col("e.n")).otherwise(F.lit(0).cast("bigint"))
-    muts = (
-        ok.select(*keys, F.explode(F.array_compact(F.array(changed("B", "vb"), changed("C", "vc")))).alias("e"))
-        .select(*keys, F.left("e.mutType", F.lit(2)).alias("oriType"), F.col("e.mutType").alias("mutType"),
-                hit("B").alias("mut_b"), hit("C").alias("mut_c"), F.lit(0).cast("bigint").alias("total"))
-    )
-    wide = _with_zero_rows(muts.unionByName(per_class), dim, aln, keys, ("mut_b", "mut_c", "total"))
+    # every informative combination is listed once per class of its original doublet
+    listed = window_counts(aln, 4, TRIO, keys, informative_di()).select(
+        *keys, "n", B.canon_doublet(mid("win_a")).alias("oriType"),
+        B.di_label(mid("win_a"), mid("win_b")).alias("to_b"), B.di_label(mid("win_a"), mid("win_c")).alias("to_c"),
+        F.explode(F.array(*[F.lit(l) for l in di_labels()])).alias("mutType"))
+    hit = lambda v: F.when(F.col(v) == F.col("mutType"), F.col("n")).otherwise(F.lit(0).cast("bigint"))
+    counts = listed.where(F.left("mutType", F.lit(2)) == F.col("oriType")).select(
+        *keys, "oriType", "mutType", hit("to_b").alias("mut_b"), hit("to_c").alias("mut_c"), F.col("n").alias("total"))
+    wide = _with_zero_rows(counts, di_classes(aln.sparkSession), aln, keys, ("mut_b", "mut_c", "total"))
     return _by_species(wide, keys, ("mutType",))
 
 
