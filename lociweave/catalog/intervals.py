@@ -270,7 +270,7 @@ register("ac_whole", "documents", [
 _HALF = "cast(floor(length(seq_a) / 2) as integer)"
 _AC_PARTS = [
     ("doc_id * 2", "start_a", "doc_id * 200000 + 9", f"substr(seq_a, 1, {_HALF})", f"substr(seq_c, 1, {_HALF})"),
-    ("doc_id * 2 + 1", f"start_a + length(replace(substr(seq_a, 1, {_HALF}), '-', ''))",
+    ("doc_id * 2 + 1", f"coalesce(start_a + length(replace(substr(seq_a, 1, {_HALF}), '-', '')), -1)",
      f"doc_id * 200000 + 9 + length(replace(substr(seq_c, 1, {_HALF}), '-', ''))",
      f"substr(seq_a, {_HALF} + 1)", f"substr(seq_c, {_HALF} + 1)"),
 ]
