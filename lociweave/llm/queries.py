@@ -33,3 +33,17 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op2_factorisation_quality")
+def factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_nnpu_toxicity")
+def nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
