@@ -6,7 +6,7 @@ share of toxic documents `prior`, the risk of a linear model g with the logistic
 Where the bracket would fall below zero, the step goes against it instead, so that the model can't win by calling the
 confirmed examples' unlabelled twins clean. The prior is the share of toxic rows among the labels that may be learnt from.
 
-A text is the set of its lower-cased words and of their beginnings of 4 and 5 characters, hashed into COLUMNS columns.
+A text is the set of its lower-cased words and of their beginnings of 4 to 7 characters, hashed into COLUMNS columns.
 Columns seen in fewer than LEAST confirmed texts of the sample, or not clearly commoner there than in unlabelled
 texts, have no weight.
 
@@ -35,11 +35,14 @@ LEAST = 3
 #: Standard deviations by which a column is commoner in confirmed texts than in unlabelled ones.
 ABOVE = 5
 THRESHOLD = 0.7
+STEPS = 400
+#: Size of a step back while the bracket is below zero, and of the ridge.
+BACK, RIDGE = 0.1, 1e-5
 _WORD = re.compile(r"\w+")
 
 
 def columns_of(word: str) -> tuple[int, ...]:
-    raw = [word] + [f"{word[:k]}*" for k in (4, 5) if len(word) >= k]
+    raw = [word] + [f"{word[:k]}*" for k in (4, 5, 6, 7) if len(word) >= k]
     return tuple(zlib.crc32(x.encode("utf-8", "replace")) & COLUMNS - 1 for x in raw)
 
 
@@ -72,11 +75,10 @@ class Model:
     weights: np.ndarray
 
 
-def fit(rows: Rows, confirmed: np.ndarray, prior: float, seed: int = 11, epochs: int = 40) -> Model | None:
+def fit(rows: Rows, confirmed: np.ndarray, prior: float, steps: int = STEPS) -> Model | None:
     """Adam on the non-negative risk; `confirmed` says which rows are confirmed toxic, the others are unlabelled."""
     if not confirmed.any():
         return None
-    rng = np.random.default_rng(seed)
     seen = np.bincount(rows.index[confirmed[rows.row_of_entry()]], minlength=COLUMNS)
     around = np.bincount(rows.index[~confirmed[rows.row_of_entry()]], minlength=COLUMNS)
     expected = (around + 0.5) * confirmed.sum() / max((~confirmed).sum(), 1)
@@ -91,28 +93,22 @@ def fit(rows: Rows, confirmed: np.ndarray, prior: float, seed: int = 11, epochs:
     p[-1] = np.log(prior / (1 - prior))
     toxic, others = np.flatnonzero(confirmed), np.flatnonzero(~confirmed)
     others = others if len(others) else toxic
-    rate, step, parts = 0.02, 0, max(1, len(others) // 400)
-    for _ in range(epochs):
-        for a, b in zip(np.array_split(rng.permutation(toxic), min(parts, len(toxic))) * (parts // min(parts, len(toxic)) + 1),
-                        np.array_split(rng.permutation(others), parts)):
-            grads = []
-            for which in (a, b):
-                part = rows.take(which)
-                z = part.sums(p[part.index]) + p[-1]
-                def slope(d, part=part):
-                    d = d / len(d)
-                    return np.append(np.bincount(part.index, d[part.row_of_entry()], n), d.sum())
-                grads.append((z, slope))
-            (zp, slope_p), (zu, slope_u) = grads
-            bracket = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            away = slope_u(sigmoid(zu)) - prior * slope_p(sigmoid(zp))
-            grad = prior * slope_p(sigmoid(zp) - 1) + away if bracket >= 0 else -away
-            grad[:-1] += 2e-5 * p[:-1] + 2e-5 * np.sign(p[:-1])
-            step += 1
-            first += 0.1 * (grad - first)
-            second += 0.001 * (grad * grad - second)
-            p -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-        rate *= 0.95
+    rows_p, rows_u = rows.take(toxic), rows.take(others)
+    entry_p, entry_u = rows_p.row_of_entry(), rows_u.row_of_entry()
+
+    def slope(part, entry, d):
+        d = d / len(d)
+        return np.append(np.bincount(part.index, d[entry], n), d.sum())
+
+    for step in range(1, steps + 1):
+        zp, zu = rows_p.sums(p[rows_p.index]) + p[-1], rows_u.sums(p[rows_u.index]) + p[-1]
+        bracket = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        away = slope(rows_u, entry_u, sigmoid(zu)) - prior * slope(rows_p, entry_p, sigmoid(zp))
+        grad = prior * slope(rows_p, entry_p, sigmoid(zp) - 1) + (away if bracket >= 0 else -BACK * away)
+        grad[:-1] += RIDGE * p[:-1]
+        first += 0.1 * (grad - first)
+        second += 0.001 * (grad * grad - second)
+        p -= 0.05 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
     weights = np.zeros(COLUMNS, np.float32)
     weights[active] = p[:-1]
     return Model(float(p[-1]), weights)
