@@ -47,3 +47,10 @@ def nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op1_nearest_url_difference")
+def nearest_url_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html_text
+
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
