@@ -54,3 +54,10 @@ def nearest_url_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import html_text
 
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op9_min_max_hashing")
+def min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import minmax
+
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
