@@ -61,3 +61,10 @@ def min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import minmax
 
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op5_seeded_alignment")
+def seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
