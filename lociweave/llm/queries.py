@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import table
 
@@ -68,3 +68,18 @@ def seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
 
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _joined(spans: str) -> Column:
+    """kind:start:end of all spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+@query("op3_semi_markov_pii")
+def semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
