@@ -14,7 +14,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine doesn't reject; it learns from the labels that aren't held out."""
+    from lociweave.llm import quality as machine
+
+    model = machine.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return machine.score(docs, model, keep=tuple(docs.columns)).where("score >= 0.5").drop("score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the smallest id. Rows that repeat an id stand or fall together."""
+    from lociweave.llm import minmax
+
+    others = minmax.near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    from lociweave.llm import decontaminate
+
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with a mark in place of each span of personal data; n_chars follows the text."""
+    from lociweave.llm import pii
+
+    kept = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    found = pii.find(docs, pii.train(docs), keep=kept, masked=True)
+    return found.withColumnRenamed("masked", "text").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +60,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
 
 #: Trained models and alignment scores aren't expressible in SQL; the tests hold the stages against plain versions.
 ORACLE_SQL = None

@@ -83,3 +83,10 @@ def semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(docs, pii.train(docs))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op10_pivot_permutations")
+def pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pivots
+
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
