@@ -90,3 +90,23 @@ def pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pivots
 
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def _removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+
+
+@query("op7_bwt_merge")
+def bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bwt_merge as method
+
+    return method.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_prefix_suffix_trees")
+def prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_trees
+
+    return suffix_trees.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
