@@ -20,7 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from lociweave.llm import quality as machine
 
     model = machine.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return machine.score(docs, model, keep=tuple(docs.columns)).where("score >= 0.5").drop("score")
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return machine.score(rows, model, keep=("_row",)).where("score >= 0.5").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +44,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The documents with a mark in place of each span of personal data; n_chars follows the text."""
     from lociweave.llm import pii
 
-    kept = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    found = pii.find(docs, pii.train(docs), keep=kept, masked=True)
-    return found.withColumnRenamed("masked", "text").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    found = pii.find(docs.select("text", F.struct(*others).alias("_row")), pii.train(docs), keep=("_row",), masked=True)
+    return found.select("_row.*", F.col("masked").alias("text"), F.length("masked").cast("long").alias("n_chars")).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

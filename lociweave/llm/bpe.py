@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_batches, text_of
+from .common import extended, map_batches, text_of
 
 #: Entries of a cache of pieces or of token pairs; the pieces seen last stay in one of two caches.
 CACHE = 250_000
@@ -218,5 +218,4 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
         return step
 
     rows = docs.select(*keep, text_of(text).alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return map_batches(rows, make, f"{kept}, ids binary, decoded binary")
+    return map_batches(rows, make, extended(docs, keep, "ids binary, decoded binary"))

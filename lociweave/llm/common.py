@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut_lineage as cut  # noqa: F401
 
 HELD_OUT_REMAINDER = 1
+#: Binary logarithm of the bits of a bit map: 2 MB, whatever the data.
+BITS = 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +30,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == HELD_OUT_REMAINDER, F.lit(False))
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]], schema: str | StructType) -> DataFrame:
     """mapInArrow with state made once for each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
@@ -36,6 +40,23 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
+def extended(df: DataFrame, keep: tuple[str, ...], ddl: str) -> StructType:
+    """The columns `keep` of a table, and more."""
+    return StructType([*df.select(*keep).schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions that a shuffle of the session has; it is set in proportion to the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def bit_map(hashes: DataFrame, column: str) -> np.ndarray:
+    """2^BITS bits, set at the highest bits of the 64-bit hashes. Its size is fixed, however many rows there are."""
+    place = F.shiftrightunsigned(column, 64 - BITS)
+    maps = hashes.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
+    bits = np.zeros(1 << BITS - 3, np.uint8)
+    for r in maps:  # bucket numbers start at 1 for positive places; place 0 is in bucket 0
+        first = (r["b"] - 1) * 32768 + 1 if r["b"] > 0 else 0
+        at = first + np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little"))
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return bits

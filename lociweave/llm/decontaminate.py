@@ -22,10 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, map_batches, text_of
+from .common import BITS, bit_map, cut, map_batches, text_of
 
 N = 3
-BITS = 24
 #: Words between two hits of one region, and words kept on either side of it.
 GAP, AROUND = 24, 32
 SHARE = 0.1
@@ -64,19 +63,6 @@ def item_grams(items: DataFrame) -> DataFrame:
     return map_batches(items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("_text")), make, "item_id long, gram long").distinct()
 
 
-def _bit_map(of_items: DataFrame) -> np.ndarray:
-    """2^BITS bits, set where an item has an n-gram. Its size is fixed, however many items there are."""
-    place = F.shiftrightunsigned("gram", 64 - BITS)
-    maps = of_items.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")).collect()
-    bits = np.zeros(1 << BITS - 3, np.uint8)
-    for r in maps:  # bucket numbers start at 1 for positive places; place 0 is in bucket 0
-        first = (r["b"] - 1) * 32768 + 1 if r["b"] > 0 else 0
-        local = np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")
-        at = first + np.flatnonzero(local)
-        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    return bits
-
-
 def hits_of(docs: DataFrame, bits: np.ndarray, least: int) -> DataFrame:
     """For each document with hits: a row (start null) with all its distinct hit n-grams, and one for each region with `least` of them."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -133,7 +119,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """(doc_id, item_id, score): items found in documents, with their best score."""
     of_items = cut(item_grams(items))
     least = of_items.groupBy("item_id").count().agg(F.least(F.lit(2), F.min("count"))).head()[0] or 2
-    found = cut(hits_of(docs, _bit_map(of_items), least))
+    found = cut(hits_of(docs, bit_map(of_items, "gram"), least))
     n = docs.select(F.count("*").alias("n_docs"))
     frequency = (found.where("start is null").select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df")))
     weighed = (of_items.join(frequency, "gram", "left").crossJoin(F.broadcast(n))  # n is one row

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, map_batches, text_of
+from .common import extended, held_out, map_batches, text_of
 from .samples import Rows, draw, labelled, sigmoid, texts_of
 
 #: Labelled rows of each class that the model is fitted on, at most.
@@ -175,8 +175,7 @@ def score(docs: DataFrame, model: Machine | None, keep: tuple[str, ...] = ("doc_
         return step
 
     rows = docs.select(*keep, text_of().alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return map_batches(rows, make, f"{kept}, score double")
+    return map_batches(rows, make, extended(docs, keep, "score double"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
