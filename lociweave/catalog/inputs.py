@@ -53,20 +53,9 @@ def register(name: str, table: str, final: list[tuple[str, str]], prepared: list
     _INPUTS[name] = (table, prepared or [], final, where)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores (a lone small file).
-
-    Tables of cluster size have more splits than cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table, prepared, final, where = _INPUTS[name]
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    if table == "documents":  # each row expands into thousands of columns
-        df = spread(df.select("doc_id", "text", "lang", "source"))
     if prepared:
         df = df.selectExpr(*[f"{e.replace('{g}', '')} as {n}" for n, e in prepared])
     if where:

@@ -42,15 +42,11 @@ MERGED = """
 
 
 def features(spark, sf):
-    return _unquote(inputs.load(spark, sf, "features"))
+    return inputs.load(spark, sf, "features")
 
 
 def segments(spark, sf):
-    return _unquote(inputs.load(spark, sf, "segments"))
-
-
-def _unquote(df):
-    return df
+    return inputs.load(spark, sf, "segments")
 
 
 @query("merge_intervals", f"{FS}, {MERGED} select * from merged")
@@ -101,23 +97,18 @@ def _(spark, sf):
     return I.overlap_outer(segments(spark, sf), features(spark, sf), ["segment_id"], bin_size=1024).select("segment_id", "b_feature_id")
 
 
-# neighbours on the same chromosome, so that all relations occur
-REL = """(s.start - f.start) * (s."end" - f."end")"""
-CROSS = """(s.start - f."end") * (s."end" - f.start)"""
-
-
-@query("interval_relations", f"""{FS} select case when {REL} = 0 and {CROSS} < 0 and s.start = f.start and s."end" = f."end" then 'equal'
-    when {REL} <= 0 and {CROSS} < 0 then 'include' when {REL} > 0 and {CROSS} = 0 then 'touch'
-    when {REL} > 0 and {CROSS} < 0 then 'overlap' else 'none' end as relation,
-  ({REL} > 0 and {CROSS} > 0) as is_none, ({REL} > 0 and {CROSS} = 0) as is_touch, ({REL} = 0 and {CROSS} < 0) as is_equal,
-  ({REL} <= 0 and {CROSS} < 0) as is_include, ({REL} > 0 and {CROSS} <= 0) as is_overlap, count(*) as n
-  from segments s join features f on f.chr = s.chr and floor(s.start / 512) = floor(f.start / 512) group by all""")
+# every pair that shares a position or an end, wherever it lies
+@query("interval_relations", f"""{FS}, p as (select s.start as a, s."end" as b, f.start as c, f."end" as d from segments s
+    join features f on f.chr = s.chr and s.start <= f."end" and f.start <= s."end")
+  select case when a = d or b = c then 'touch' when a = c and b = d then 'equal' when a between c and d and b between c and d then 'include'
+    when c between a and b and d between a and b then 'include' else 'overlap' end as relation,
+  false as is_none, (a = d or b = c) as is_touch, (a < d and c < b and (a = c or b = d)) as is_equal,
+  (a < d and c < b and (least(a, c) = a and greatest(b, d) = b or least(a, c) = c and greatest(b, d) = d)) as is_include,
+  ((a < c and c <= b and b < d) or (c < a and a <= d and d < b)) as is_overlap, count(*) as n from p group by all""")
 def _(spark, sf):
-    s = segments(spark, sf).withColumn("near", F.floor(F.col("start") / 512))
-    f = features(spark, sf).select("chr", F.floor(F.col("start") / 512).alias("near"),
-                                   F.col("start").alias("fs"), F.col("end").alias("fe"))
-    j = s.join(f, ["chr", "near"])
-    args = ("chr", "start", "end", "chr", "fs", "fe")
+    j = I.overlap_join(segments(spark, sf), features(spark, sf), bin_size=1024, closed=True,
+                       condition=(F.col("start") <= F.col("b_end")) & (F.col("b_start") <= F.col("end")))
+    args = ("chr", "start", "end", "b_chr", "b_start", "b_end")
     tests = [c.alias(f"is_{k}") for k, c in interval_predicates(*args).items()]
     return j.groupBy(interval_relation(*args).alias("relation"), *tests).agg(F.count(F.lit(1)).alias("n"))
 
@@ -253,7 +244,6 @@ def _(spark, sf):
 
 # ---- three-way join --------------------------------------------------------
 
-_FROM = ALPHABET.replace("j", "").replace(".", "") + ".j"  # the last letter is deleted
 _map = lambda table, order, **special: "".join(special.get(c, table[ALPHABET.index(c)]) for c in order)
 _AB = ALPHABET.replace("j", "")
 _AC = ALPHABET.replace(".", "")

@@ -358,7 +358,7 @@ RUNS = f"""{RS}, lk as (select *, lag(g_chr) over w as pc, lag(r_strand) over w
   l2 as (select *, (pc = g_chr and ps = r_strand and pe < g_start) as lin, pr = r_start as ex from lk),
   runs as materialized (select *, cast(sum(case when pc is not null and not lin then 1 else 0 end) over w as bigint) as linear,
     cast(sum(case when pc is not null and not (lin and ex) then 1 else 0 end) over w as bigint) as run,
-    case when lin and ex then abs(g_start - pe - 1) end as skipped from l2 window w as (partition by r_id order by r_pstart, aln_id rows unbounded preceding))"""
+    case when lin and ex then g_start - pe end as skipped from l2 window w as (partition by r_id order by r_pstart, aln_id rows unbounded preceding))"""
 
 
 @query("run_groups", f"{RUNS} select aln_id, r_id, linear, run, skipped from runs")

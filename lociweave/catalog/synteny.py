@@ -296,16 +296,15 @@ def _(spark, sf):
 
 # ---- trios and species -----------------------------------------------------
 
-@query("branch_rates", f"""with {inputs.cte('trio_pairs')}, p as (select trio_id, (100 - ab + 100 - ca - (100 - cb)) / 2 as a, (100 - ab + 100 - cb - (100 - ca)) / 2 as b,
-  (100 - ca + 100 - cb - (100 - ab)) / 2 as c from trio_pairs)
+@query("branch_rates", f"""with {inputs.cte('trio_pairs')}, p as (select trio_id, round((100 - ab + 100 - ca - (100 - cb)) / 2, 9) as a, round((100 - ab + 100 - cb - (100 - ca)) / 2, 9) as b,
+  round((100 - ca + 100 - cb - (100 - ab)) / 2, 9) as c from trio_pairs)
   select trio_id, {rnd('a')} as rate_a, {rnd('b')} as rate_b, {rnd('c')} as rate_c,
    {rnd('(a/3 * (100-b) * (100-c)) / nullif((100-a) * (b/3) * (c/3), 0)', 3)} as odds_a,
-   {rnd('((100-a) * (b/3) * (100-c)) / nullif((a/3) * (100-b) * (c/3), 0)', 3)} as odds_b from p where abs(a) > 1e-6 and abs(b) > 1e-6 and abs(c) > 1e-6""")
+   {rnd('((100-a) * (b/3) * (100-c)) / nullif((a/3) * (100-b) * (c/3), 0)', 3)} as odds_b from p""")
 def _(spark, sf):
     t = trio_pairs(spark, sf)
     out = t.select("trio_id", *[c.alias(n) for n, c in rates.branch_rates("ab", "ca", "cb").items()])
-    defined = out.where("abs(rate_a) > 1e-6 and abs(rate_b) > 1e-6 and abs(rate_c) > 1e-6")
-    return rounded(rounded(defined, "rate_a", "rate_b", "rate_c"), "odds_a", "odds_b", places=3)
+    return rounded(rounded(out, "rate_a", "rate_b", "rate_c"), "odds_a", "odds_b", places=3)
 
 
 @query("trio_statistics", f"""with {inputs.cte('trio_pairs')} select taxon, count(*) as pairs, {rnd('min(identity)')} as lowest, {rnd('avg(identity)')} as mean,
@@ -338,9 +337,9 @@ def _(spark, sf):
 
 
 def species_spectra(spark, sf):
-    """One spectrum per source genome and ingroup species; the first ingroup is used as the sample."""
-    a = aln3(spark, sf).drop("trio").withColumnRenamed("chr_a", "sample")
-    return S.tri_spectrum(a, ["sample"]).where("species = 'B'").drop("species")
+    """One spectrum per source genome and ingroup species; each of the two is a sample."""
+    a = aln3(spark, sf).drop("trio").withColumnRenamed("chr_a", "genome")
+    return S.tri_spectrum(a, ["genome"]).withColumn("sample", F.concat_ws("_", "genome", "species")).drop("genome", "species")
 
 
 def _features(spark, sf):
@@ -351,7 +350,7 @@ def _features(spark, sf):
 SAMPLE_SPECTRUM = SPECTRUM_CTE.replace("lang as trio", "source as trio")
 
 
-@query("feature_table", f"""{SAMPLE_SPECTRUM}, o as (select trio, "mutType", coalesce({OBS}, 0.0) as obs from spectrum where species = 'B'),
+@query("feature_table", f"""{SAMPLE_SPECTRUM}, o as (select trio || '_' || species as trio, "mutType", coalesce({OBS}, 0.0) as obs from spectrum),
   f as (select trio as sample, "mutType", log2((obs + 1e-12) / greatest(avg(obs) over (partition by trio), 1e-12)) as v from o)
   select sample, {', '.join(rnd(f'''max(case when "mutType" = '{l}' then v end)''') + f' as "{l}"' for l in M.LABELS)} from f group by 1""")
 def _(spark, sf):
@@ -362,7 +361,7 @@ def _(spark, sf):
 @query("principal_components")
 def _(spark, sf):
     projected, _variance = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 2)
-    return M.vector_columns(projected, "sample", "pc")
+    return M.vector_columns(projected, "sample", 2)
 
 
 @query("explained_variance")
@@ -374,7 +373,7 @@ def _(spark, sf):
 @query("species_clusters")
 def _(spark, sf):
     projected, _v = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 2)
-    clusters, _scores = M.best_kmeans(projected, "sample", k_max=6, seeds=range(1, 4))
+    clusters, _scores = M.best_kmeans(projected, "sample")
     return M.cluster_table(projected, clusters, "sample")
 
 

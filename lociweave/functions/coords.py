@@ -13,17 +13,28 @@ def to_plus(start, end, strand, length) -> tuple[Column, Column]:
     return F.when(st == "-", n - e).otherwise(s), F.when(st == "-", n - s).otherwise(e)
 
 
-def interval_relation(chr1, a1, b1, chr2, a2, b2) -> Column:
-    """none, touch, equal, include or overlap."""
+def _ends(a1, b1, a2, b2) -> dict[str, Column]:
+    """How the ends of two intervals lie: crossing (they share positions), nested, twins, sharing an end, meeting, apart."""
     a1, b1, a2, b2 = _c(a1), _c(b1), _c(a2), _c(b2)
-    same_ends = (a1 - a2) * (b1 - b2)
-    cross_ends = (a1 - b2) * (b1 - a2)
+    return {
+        "crossing": (a1 < b2) & (a2 < b1),
+        "nested": ((a1 <= a2) & (b2 <= b1)) | ((a2 <= a1) & (b1 <= b2)),
+        "twins": (a1 == a2) & (b1 == b2),
+        "one_end": (a1 == a2) | (b1 == b2),
+        "meeting": (b1 == a2) | (b2 == a1),
+        "apart": (b1 < a2) | (b2 < a1),
+    }
+
+
+def interval_relation(chr1, a1, b1, chr2, a2, b2) -> Column:
+    """none, touch, equal, include or overlap, for intervals that aren't empty."""
+    e = _ends(a1, b1, a2, b2)
     return (
         F.when(_c(chr1) != _c(chr2), F.lit("none"))
-        .when((same_ends == 0) & (cross_ends < 0) & (a1 == a2) & (b1 == b2), F.lit("equal"))
-        .when((same_ends <= 0) & (cross_ends < 0), F.lit("include"))
-        .when((same_ends > 0) & (cross_ends == 0), F.lit("touch"))
-        .when((same_ends > 0) & (cross_ends < 0), F.lit("overlap"))
+        .when(e["crossing"] & e["twins"], F.lit("equal"))
+        .when(e["crossing"] & e["nested"], F.lit("include"))
+        .when(e["crossing"], F.lit("overlap"))
+        .when(e["meeting"], F.lit("touch"))
         .otherwise(F.lit("none"))
     )
 
@@ -31,19 +42,17 @@ def interval_relation(chr1, a1, b1, chr2, a2, b2) -> Column:
 def interval_predicates(chr1, a1, b1, chr2, a2, b2) -> dict[str, Column]:
     """The five tests on their own; they are not exclusive.
 
-    `equal` holds as soon as one end agrees (product of end differences is zero), and
-    `overlap` includes a touch.
+    `equal` holds as soon as one end agrees, `include` also for twins, and `overlap` (never one inside the
+    other) includes a touch.
     """
-    a1, b1, a2, b2 = _c(a1), _c(b1), _c(a2), _c(b2)
-    same_ends = (a1 - a2) * (b1 - b2)
-    cross_ends = (a1 - b2) * (b1 - a2)
+    e = _ends(a1, b1, a2, b2)
     same_chr = _c(chr1) == _c(chr2)
     return {
-        "none": ~same_chr | ((same_ends > 0) & (cross_ends > 0)),
-        "touch": same_chr & (same_ends > 0) & (cross_ends == 0),
-        "equal": same_chr & (same_ends == 0) & (cross_ends < 0),
-        "include": same_chr & (same_ends <= 0) & (cross_ends < 0),
-        "overlap": same_chr & (same_ends > 0) & (cross_ends <= 0),
+        "none": ~same_chr | e["apart"],
+        "touch": same_chr & e["meeting"],
+        "equal": same_chr & e["crossing"] & e["one_end"],
+        "include": same_chr & e["crossing"] & e["nested"],
+        "overlap": same_chr & ((e["crossing"] & ~e["nested"]) | e["meeting"]),
     }
 
 

@@ -12,19 +12,23 @@ def branch_rates(ab, ca, cb) -> dict[str, Column]:
 
     ab: between the ingroups; ca, cb: outgroup against each ingroup.
     """
-    x, y, z = F.lit(100.0) - _c(ab), F.lit(100.0) - _c(ca), F.lit(100.0) - _c(cb)
-    pa, pb, pc = (x + y - z) / 2, (x + z - y) / 2, (y + z - x) / 2
-    once_a = pa / 3 * (100 - pb) * (100 - pc)
-    twice_a = (100 - pa) * (pb / 3) * (pc / 3)
-    once_b = pb / 3 * (100 - pa) * (100 - pc)
-    twice_b = (pa / 3) * (100 - pb) * (pc / 3)
-    return {
-        "rate_a": pa,
-        "rate_b": pb,
-        "rate_c": pc,
-        "odds_a": F.when(twice_a != 0, once_a / F.nullif(twice_a, F.lit(0.0))),
-        "odds_b": F.when(twice_b != 0, once_b / F.nullif(twice_b, F.lit(0.0))),
-    }
+    far = {k: F.lit(100.0) - _c(v) for k, v in (("bc", ab), ("ba", ca), ("ca", cb))}  # percent that differ, by pair of leaves
+
+    def branch(leaf: str) -> Column:
+        """Length of a leaf's own branch: half of what its two distances exceed the third by; noise of the arithmetic is zero."""
+        own = [v for k, v in far.items() if leaf in k]
+        other = [v for k, v in far.items() if leaf not in k]
+        return F.round((own[0] + own[1] - other[0]) / 2, 9)
+
+    one, two, root = branch("b"), branch("c"), branch("a")
+    changed, kept = (lambda r: r / 3), (lambda r: 100 - r)
+
+    def odds(here: Column, there: Column) -> Column:
+        """One change on the branch against one on each of the two others; null where those can't be."""
+        both = kept(here) * changed(there) * changed(root)
+        return F.when(both != 0, changed(here) * kept(there) * kept(root) / F.nullif(both, F.lit(0.0)))
+
+    return {"rate_a": one, "rate_b": two, "rate_c": root, "odds_a": odds(one, two), "odds_b": odds(two, one)}
 
 
 def mapq(p) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.clustering import KMeans
@@ -41,10 +42,9 @@ def principal_components(vectors: DataFrame, species: str, k: int = 2) -> tuple[
     return model.transform(scaled).select(species, "scaled", "pc"), [float(v) for v in model.explainedVariance]
 
 
-def vector_columns(df: DataFrame, key: str, column: str = "pc") -> DataFrame:
-    """A vector column as pc1, pc2, ... doubles."""
+def vector_columns(df: DataFrame, key: str, k: int, column: str = "pc") -> DataFrame:
+    """A vector column of size k as pc1, pc2, ... doubles."""
     values = vector_to_array(column)
-    k = df.select(F.size(values)).head()[0]
     return df.select(key, *[values[i].alias(f"{column}{i + 1}") for i in range(k)])
 
 
@@ -54,25 +54,34 @@ def best_kmeans(projected: DataFrame, species: str, column: str = "pc", k_min: i
     # dozens of fits follow: start them from stored rows, not from the spectra
     data = cut_lineage(projected.select(species, F.col(column).alias("features")))
     n = data.count()
-    data = data.coalesce(1 + n // 100_000).cache()
+    data = data.cache()
     scores, fits = {}, {}
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    for k in range(k_min, min(k_max, n - 1) + 1):
-        runs = [KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster").fit(data) for s in seeds]
-        best = min(runs, key=lambda m: m.summary.trainingCost)
-        labelled = best.transform(data)
-        if labelled.select("cluster").distinct().count() < 2:
-            continue
-        scores[k] = evaluator.evaluate(labelled)
-        fits[k] = best
+
+    def fit(task: tuple[int, int]):
+        return KMeans(k=task[0], seed=task[1], featuresCol="features", predictionCol="cluster").fit(data)
+
+    ks = range(k_min, min(k_max, n - 1) + 1)
+    try:
+        with ThreadPoolExecutor(8) as pool:  # the fits don't depend on each other: their jobs share the cluster
+            models = list(pool.map(fit, [(k, s) for k in ks for s in seeds]))
+        for i, k in enumerate(ks):
+            best = min(models[i * len(seeds):(i + 1) * len(seeds)], key=lambda m: m.summary.trainingCost)
+            labelled = best.transform(data)
+            if labelled.select("cluster").distinct().count() < 2:
+                continue
+            scores[k] = evaluator.evaluate(labelled)
+            fits[k] = best
+    finally:
+        data.unpersist()
     chosen = max(scores, key=lambda k: (scores[k], -k))
     return fits[chosen].transform(data).select(species, "cluster"), scores
 
 
-def cluster_table(projected: DataFrame, clusters: DataFrame, species: str) -> DataFrame:
+def cluster_table(projected: DataFrame, clusters: DataFrame, species: str, k: int = 2) -> DataFrame:
     """species, cluster, pc1, pc2 (and pc3), samples in the cluster."""
     size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("samples"))
-    return vector_columns(projected, species).join(clusters, species).join(size, "cluster")
+    return vector_columns(projected, species, k).join(clusters, species).join(size, "cluster")
 
 
 # ---- labels and summaries --------------------------------------------------

@@ -298,7 +298,7 @@ def run_groups(reads: DataFrame) -> DataFrame:
     new_linear = F.when(follows & ~linear, 1).otherwise(0)
     new_run = F.when(follows & ~(linear & exact), 1).otherwise(0)
     out = scan(n, ["r_id"], "r_pstart", ["aln_id"], READ_BUCKET, sums={"linear": new_linear, "run": new_run})
-    return out.withColumn("skipped", F.when(linear & exact, F.abs(F.col("g_start") - F.col("prev.g_end") - 1))).drop("prev")
+    return out.withColumn("skipped", F.when(linear & exact, F.col("g_start") - F.col("prev.g_end"))).drop("prev")
 
 
 def run_records(groups: DataFrame) -> DataFrame:

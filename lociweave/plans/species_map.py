@@ -20,4 +20,4 @@ def species_map(spectra: DataFrame, species: str = "accession", components: int
     vectors = M.feature_vectors(M.feature_table(values, species, column), species)
     projected, _ = M.principal_components(vectors, species, components)
     clusters, _ = M.best_kmeans(projected, species, k_max=k_max, seeds=seeds)
-    return M.cluster_table(projected, clusters, species)
+    return M.cluster_table(projected, clusters, species, components)

@@ -17,7 +17,8 @@ def write_spectrum(spectrum: DataFrame, path: str, partition_by: Sequence[str] =
                    mode: str = "error") -> None:
     """Tab-separated, header, fixed class order inside each file; one folder per partition value."""
     order = [F.col("mutType")] if dinucleotide else spectrum_order()
-    rows = spectrum.repartition(*partition_by) if partition_by else spectrum.coalesce(1)  # 96 rows per spectrum
+    # without folders the classes are dealt in order to as many files as the rows need: one for one spectrum's 96 rows
+    rows = spectrum.repartition(*partition_by) if partition_by else spectrum.repartitionByRange(*order)
     (rows.sortWithinPartitions(*partition_by, *order).write.mode(mode).partitionBy(*partition_by)
      .csv(path, sep="\t", header=True))
 
@@ -53,9 +54,15 @@ def write_maf(aln: DataFrame, path: str, sides: Sequence[str] = ("a", "b", "c"),
 
 
 def write_introns(introns: DataFrame, path: str, mode: str = "error") -> None:
-    """One JSON object per line: key and the intron's fields."""
-    rest = [c for c in introns.columns if c != "key"]
-    introns.select(F.to_json(F.struct(F.col("key"), *rest)).alias("value")).write.mode(mode).text(path)
+    """One line per intron, a map of its key to its fields, which `read_introns_json` reads back."""
+    intron_json(introns).write.mode(mode).text(path)
+
+
+def intron_json(introns: DataFrame) -> DataFrame:
+    """`value` rows of introns with key, start, end, length, don, acc and reads."""
+    fields = F.struct(F.col("start").alias("intronStart"), F.col("end").alias("intronEnd"), F.col("length").alias("intronLength"),
+                      F.array("don", "acc").alias("splicingSignal"), F.col("reads").alias("readIDs"))
+    return introns.select(F.to_json(F.create_map("key", fields)).alias("value"))
 
 
 def write_partitioned(df: DataFrame, column: str, path: str, fmt: str = "parquet", mode: str = "error",

@@ -1,10 +1,12 @@
-"""Alignment text files. Files are split by Hadoop on blank lines, so a large MAF is read
-by many tasks; compressed files are opened by their extension."""
+"""Alignment text files. Files are split at the lines that begin a block, whatever their line ends, so a large MAF is
+read by many tasks; compressed files are opened by their extension. Each reader is a parser of text rows and a read."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .features import after_equals
+
 SIDES = "abcdefgh"
 PSL_SCHEMA = (
     "matches bigint, mismatches bigint, rep_matches bigint, n_count bigint, q_gaps bigint, q_gap_bases bigint, "
@@ -13,10 +15,15 @@ PSL_SCHEMA = (
     "q_starts string, t_starts string")
 
 
-def _blocks(spark: SparkSession, path) -> DataFrame:
-    """One row per block: block_id, lines (comments dropped). Lines of white space also end a block."""
-    raw = spark.read.option("lineSep", "\n\n").text(path)
-    parts = raw.select(F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("t"))
+def maf_parts(spark: SparkSession, path) -> DataFrame:
+    """`value` rows of whole blocks. The mark that ends a row is the next block's `a` at the start of a line, which is put back."""
+    raw = spark.read.option("lineSep", "\na").text(path)
+    return raw.select(F.when(F.col("value").rlike(r"^([ \t\r\n]|$)"), F.concat(F.lit("a"), F.col("value"))).otherwise(F.col("value")).alias("value"))
+
+
+def _blocks(parts: DataFrame) -> DataFrame:
+    """One row per block: block_id, lines (comments dropped). Lines of white space also end a block; a row may hold several."""
+    parts = parts.select(F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("t"))
     lines = F.filter(F.split("t", "\n"), lambda l: ~l.startswith("#") & (F.length(F.trim(l)) > 0))
     return parts.select(lines.alias("lines")).where(F.exists("lines", lambda l: l.startswith("s "))).select(
         F.monotonically_increasing_id().alias("block_id"), "lines")
@@ -34,11 +41,15 @@ def _seq(f: Column) -> Column:
 
 
 def read_maf(spark: SparkSession, path, with_plines: bool = False) -> DataFrame:
+    return parse_maf(maf_parts(spark, path), with_plines)
+
+
+def parse_maf(parts: DataFrame, with_plines: bool = False) -> DataFrame:
     """block_id, seqs ARRAY<STRUCT<chr, start, end, strand, len, seq>> and, on request, plines ARRAY<STRING>."""
     cols = [F.col("block_id"), F.transform(_fields("s"), _seq).alias("seqs")]
     if with_plines:
         cols.append(F.transform(_fields("p"), lambda f: f[1]).alias("plines"))
-    return _blocks(spark, path).select(*cols)
+    return _blocks(parts).select(*cols)
 
 
 def flatten_trio(blocks: DataFrame, sides: str = "abc") -> DataFrame:
@@ -52,10 +63,14 @@ def flatten_trio(blocks: DataFrame, sides: str = "abc") -> DataFrame:
 
 
 def read_maf_pairs(spark: SparkSession, path) -> DataFrame:
+    return parse_maf_pairs(maf_parts(spark, path))
+
+
+def parse_maf_pairs(parts: DataFrame) -> DataFrame:
     """Pairwise blocks with the key=value fields of the `a` line; score and mismap must be there."""
-    b = _blocks(spark, path)
+    b = _blocks(parts)
     words = F.filter(F.flatten(_fields("a")), lambda w: w.contains("="))
-    info = F.map_from_entries(F.transform(words, lambda w: F.struct(F.split_part(w, F.lit("="), F.lit(1)), F.split_part(w, F.lit("="), F.lit(2)))))
+    info = F.map_from_entries(F.transform(words, lambda w: F.struct(F.split_part(w, F.lit("="), F.lit(1)), after_equals(w))))
     got = flatten_trio(b.select("block_id", F.transform(_fields("s"), _seq).alias("seqs"), info.alias("_a")), "ab")
     need = lambda k, t: F.coalesce(F.col("_a")[k], F.raise_error(F.lit(f"alignment without {k}"))).cast(t).alias(k)
     side = lambda s, p: [F.col(f"{f}_{s}").alias(f"{p}_{f}") for f in ("start", "end", "strand", "len", "seq")]
@@ -65,8 +80,13 @@ def read_maf_pairs(spark: SparkSession, path) -> DataFrame:
         F.col("chr_a").alias("g_chr"), *side("a", "g"), F.col("chr_b").alias("r_id"), *side("b", "r"))
 
 
+def parse_psl(lines: DataFrame) -> DataFrame:
+    """PSL columns of tab-separated `value` rows."""
+    return lines.where(F.length(F.trim("value")) > 0).select(F.from_csv(F.regexp_replace("value", "\r$", ""), PSL_SCHEMA, {"sep": "\t"}).alias("r")).select("r.*")
+
+
 def read_psl(spark: SparkSession, path) -> DataFrame:
-    return spark.read.csv(path, sep="\t", schema=PSL_SCHEMA)
+    return parse_psl(spark.read.text(path))
 
 
 def psl_segments(psl: DataFrame, prefix: str = "") -> DataFrame:

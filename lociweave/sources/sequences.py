@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """name, description, seq, file: one row per record."""
-    raw = spark.read.option("lineSep", "\n>").text(path).select(
-        F.regexp_replace("value", "^>", "").alias("t"), F.col("_metadata.file_path").alias("file"))
+    return parse_fasta(spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file")))
+
+
+def parse_fasta(records: DataFrame) -> DataFrame:
+    """name, description, seq, file: one row per record; `value` holds a record with or without its mark."""
+    raw = records.select(F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "").alias("t"), "file")
     head = F.split_part("t", F.lit("\n"), F.lit(1))
     body = F.when(F.instr("t", "\n") > 0, F.regexp_replace(F.substring("t", F.instr("t", "\n") + 1, F.length("t")), r"\s+", "")).otherwise(F.lit(""))
     return raw.where(F.length(F.trim("t")) > 0).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _END = "struct<chr:string,pos:bigint,strand:string>"
@@ -12,29 +14,53 @@ METADATA_SCHEMA = ("reports array<struct<accession:string,organism:struct<organi
 
 
 def read_spectra(spark: SparkSession, path) -> DataFrame:
-    """Spectrum TSVs; accession, short name and date come from the file name ACC_NNN_short_date.tsv."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)\.[^.]*$", 1)
-    rows = spark.read.csv(path, sep="\t", header=True, schema="mutType string, mutNum bigint, totalRootNum bigint",
-                          enforceSchema=False)
+    """Spectrum TSVs of one layout. Their first line names the columns, so annotated tables (oriType, s_cds, ...) read back too."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_name").alias("file"))
+    header = lines.where(F.col("value").rlike(r"(^|\t)mutType(\t|$)")).limit(1).head()  # one line
+    return parse_spectra(lines, header["value"].split("\t") if header else ["mutType", "mutNum", "totalRootNum"])
+
+
+def parse_spectra(lines: DataFrame, columns: Sequence[str] = ("mutType", "mutNum", "totalRootNum")) -> DataFrame:
+    """accession, short_name and date from the `file` name ACC_NNN_short_date.tsv, and the columns of its `value` lines; header lines are left out."""
+    stem = F.regexp_extract("file", r"^(.*?)\.[^.]*$", 1)
+    kinds = {"mutType": "string", "oriType": "string"}
+    f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
+    rows = lines.where((F.length(F.trim("value")) > 0) & ~F.col("value").rlike(r"(^|\t)mutType(\t|$)")).select(
+        *[F.nullif(F.get(f, F.lit(i)), F.lit("")).cast(kinds.get(c, "bigint")).alias(c) for i, c in enumerate(columns)], "file")
     p = F.split(stem, "_")
     named = rows.select("*", p.alias("_p"), stem.alias("_stem"))
     acc = F.when(F.size("_p") >= 3, F.concat_ws("_", F.slice("_p", 1, 2))).otherwise(
         F.raise_error(F.concat(F.lit("unexpected file name: "), F.col("_stem"))))
     return named.select(acc.alias("accession"), F.get("_p", F.lit(2)).alias("short_name"),
-                        F.coalesce(F.get("_p", F.lit(3)), F.lit("")).alias("date"), "mutType", "mutNum", "totalRootNum")
+                        F.coalesce(F.get("_p", F.lit(3)), F.lit("")).alias("date"), *columns)
 
 
 def read_metadata(spark: SparkSession, path) -> DataFrame:
     """accession (file name) and organism name of genome metadata JSON files."""
-    raw = spark.read.json(path, schema=METADATA_SCHEMA, multiLine=True)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json", 1).alias("accession"),
+    return parse_metadata(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file")))  # small files, one genome each
+
+
+def parse_metadata(documents: DataFrame) -> DataFrame:
+    raw = documents.select(F.from_json("value", METADATA_SCHEMA).alias("j"), "file").select("j.*", "file")
+    return raw.select(F.regexp_extract("file", r"^(.*)\.json", 1).alias("accession"),
                       F.get("reports", F.lit(0))["organism"]["organism_name"].alias("organism"),
                       F.map_values(F.get("reports", F.lit(0))["organism"]["infraspecific_names"]).alias("infraspecific"))
 
 
 def read_introns_json(spark: SparkSession, path) -> DataFrame:
-    """Intron JSON (key -> struct) as rows."""
-    m = spark.read.text(path, wholetext=True).select(F.from_json("value", INTRON_SCHEMA).alias("m"))
+    """Intron JSON as rows: one map (key -> intron) for a file, or as `write_introns` leaves it, one such map in each line."""
+    lines = spark.read.text(path)
+    whole = spark.read.text(path, wholetext=True)
+    # a line that is a whole map is read as it is; only files laid out over several lines are read as one text
+    single = F.from_json("value", INTRON_SCHEMA).isNotNull() & F.col("value").startswith("{") & F.rtrim("value").endswith("}")
+    if lines.where(F.length(F.trim("value")) > 0).limit(1).where(single).isEmpty():
+        return parse_introns(whole)
+    return parse_introns(lines)
+
+
+def parse_introns(maps: DataFrame) -> DataFrame:
+    """key, start, end, length, don, acc, reads of `value` rows that map keys to introns."""
+    m = maps.select(F.from_json("value", INTRON_SCHEMA).alias("m"))
     sig = lambda i: F.get("v.splicingSignal", F.lit(i))
     return m.select(F.explode("m").alias("key", "v")).select(
         "key", F.col("v.intronStart").alias("start"), F.col("v.intronEnd").alias("end"), F.col("v.intronLength").alias("length"),
@@ -42,9 +68,15 @@ def read_introns_json(spark: SparkSession, path) -> DataFrame:
 
 
 def read_trios(spark: SparkSession, path) -> DataFrame:
-    """Candidate pairs: taxon (file name), acc1, acc2, their descriptions and percent identity."""
-    raw = spark.read.option("lineSep", "\n\n").text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("taxon"),
+    # a list of pairs is small; with other line ends its blank lines aren't found, and it is one text
+    return parse_trios(spark.read.option("lineSep", "\n\n").text(path).select("value", F.col("_metadata.file_name").alias("file")))
+
+
+def parse_trios(entries: DataFrame) -> DataFrame:
+    """Candidate pairs: taxon (file name), acc1, acc2, their descriptions and percent identity; a `value` holds one entry or several."""
+    one = entries.select("file", F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("value"))
+    raw = one.select(
+        F.regexp_extract("file", r"^(.*?)(\.[^.]*)?$", 1).alias("taxon"),
         F.filter(F.split("value", "\n"), lambda l: F.length(F.trim(l)) > 0).alias("l"))
     line = lambda i: F.get("l", F.lit(i))
     ident = F.regexp_extract(line(2), r"percent identity:\s*([0-9.]+)", 1)

@@ -88,7 +88,7 @@ def test_runs(spark):
             read(3, "q/1", None, None, "c1", 80, 90, 25, 35, "+", 40), read(4, "q/1", None, None, "c2", 5, 9, 35, 39, "+", 40)]
     rec = R.run_records(R.run_groups(spark.createDataFrame(rows, READ))).orderBy("run").collect()
     assert [(r["linear"], r["run"], r["flag"], r["parts"], r["skipped"], r["pos"], r["clip_before"], r["clip_after"]) for r in rec] == [
-        (0, 0, 99, 2, 29, 11, 0, 20), (0, 1, 99, 1, 0, 81, 25, 5), (1, 2, 99 + 2048, 1, 0, 6, 35, 1)]
+        (0, 0, 99, 2, 30, 11, 0, 20), (0, 1, 99, 1, 0, 81, 25, 5), (1, 2, 99 + 2048, 1, 0, 6, 35, 1)]
 
 
 def test_describe():

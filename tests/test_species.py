@@ -36,7 +36,7 @@ def test_components(spark):
     v = M.feature_vectors(M.feature_table(N.log_ratio_smooth(spectra_of(spark), ["accession"]), "accession", "feature"), "accession")
     projected, var = M.principal_components(v, "accession", 3)
     assert var == sorted(var, reverse=True) and 0 < sum(var) <= 1 + 1e-9
-    mean = M.vector_columns(projected, "accession").selectExpr("abs(avg(pc1))", "abs(avg(pc2))").head()
+    mean = M.vector_columns(projected, "accession", 2).selectExpr("abs(avg(pc1))", "abs(avg(pc2))").head()
     assert max(mean) < 1e-9
 
 
