@@ -367,13 +367,15 @@ def _(spark, sf):
 
 
 @query("run_records", f"""{RUNS}, x as (select r_id, linear, run, count(*) as parts, arg_min(row(g_chr, g_start, r_strand, r_start, r_len), row(r_pstart, aln_id)) as f,
-   arg_max(r_end, row(r_pstart, aln_id)) as re, coalesce(cast(sum(skipped) as bigint), 0) as skipped from runs group by 1, 2, 3)
+   arg_max(r_end, row(r_pstart, aln_id)) as re, coalesce(cast(sum(skipped) as bigint), 0) as skipped,
+   string_agg(case when skipped > 0 then skipped || 'N' else '' end || cigar, '' order by r_pstart, aln_id) as body, cast(sum(aln_id % 7) as bigint) as edit_distance from runs group by 1, 2, 3)
   select regexp_replace(r_id, '/[12]$', '') as name, linear, run,
    cast(case when r_id like '%/1' then case when f[3] = '+' then 99 else 83 end when r_id like '%/2' then case when f[3] = '+' then 163 else 147 end
      else case when f[3] = '+' then 0 else 16 end end + case when linear > 0 then 2048 else 0 end as integer) as flag,
-   f[1] as chr, f[2] + 1 as pos, parts, f[4] as clip_before, f[5] - re as clip_after, skipped from x""")
+   f[1] as chr, f[2] + 1 as pos, parts, f[4] as clip_before, f[5] - re as clip_after, skipped, edit_distance,
+   case when f[4] > 0 then f[4] || 'H' else '' end || body || case when f[5] - re > 0 then f[5] - re || 'H' else '' end as cigar from x""")
 def _(spark, sf):
-    return R.run_records(R.run_groups(reads(spark, sf)))
+    return R.run_records(R.run_groups(reads(spark, sf).withColumn("edit_distance", F.col("aln_id") % 7)))
 
 
 @query("mapping_quality", f"""with {inputs.cte('reads')} select aln_id, cast(case when mismap is null then 255 when mismap = 0 then 254

@@ -302,12 +302,25 @@ def run_groups(reads: DataFrame) -> DataFrame:
 
 
 def run_records(groups: DataFrame) -> DataFrame:
-    """One output record per run: id without mate suffix, flag, 1-based position, clips and skips around the parts."""
+    """One output record per run: id without mate suffix, flag, 1-based position, clips and skips around the parts.
+
+    With a `cigar` column, also the run's CIGAR (hard clips at its ends, N for skipped genome); with `edit_distance`, its sum.
+    """
     order = F.struct("r_pstart", "aln_id")
     first = F.min_by(F.struct("g_chr", "g_start", "r_strand", "mismap", "score", "r_start", "r_len"), order)
     last = F.max_by(F.struct("r_end"), order)
+    more, names = [], []
+    if "cigar" in groups.columns:
+        # the parts of one read: a list as long as the read has alignments
+        parts = F.array_sort(F.collect_list(F.struct("r_pstart", "aln_id", "skipped", "cigar")))
+        more.append(F.array_join(F.transform(parts, lambda p: F.concat(F.when(p["skipped"] > 0, F.concat(p["skipped"].cast("string"), F.lit("N"))).otherwise(""), p["cigar"])), "").alias("body"))
+        clip = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("H"))).otherwise("")
+        names.append(F.concat(clip(F.col("f.r_start")), "body", clip(F.col("f.r_len") - F.col("l.r_end"))).alias("cigar"))
+    if "edit_distance" in groups.columns:
+        more.append(F.sum("edit_distance").alias("edit_distance"))
+        names.append(F.col("edit_distance"))
     rec = groups.groupBy("r_id", "linear", "run").agg(
-        F.count(F.lit(1)).alias("parts"), first.alias("f"), last.alias("l"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"))
+        *more, F.count(F.lit(1)).alias("parts"), first.alias("f"), last.alias("l"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"))
     forward = F.col("f.r_strand") == "+"
     flag = (
         F.when(F.col("r_id").endswith("/1"), F.when(forward, 99).otherwise(83))
@@ -316,7 +329,7 @@ def run_records(groups: DataFrame) -> DataFrame:
     return rec.select(
         F.regexp_replace("r_id", "/[12]$", "").alias("name"), "linear", "run", flag.alias("flag"), F.col("f.g_chr").alias("chr"),
         (F.col("f.g_start") + 1).alias("pos"), "parts", F.col("f.r_start").alias("clip_before"),
-        (F.col("f.r_len") - F.col("l.r_end")).alias("clip_after"), "skipped")
+        (F.col("f.r_len") - F.col("l.r_end")).alias("clip_after"), "skipped", *names)
 
 
 # ---- distributions ---------------------------------------------------------

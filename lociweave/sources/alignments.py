@@ -25,7 +25,7 @@ def _blocks(parts: DataFrame) -> DataFrame:
     """One row per block: block_id, lines (comments dropped). Lines of white space also end a block; a row may hold several."""
     parts = parts.select(F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("t"))
     lines = F.filter(F.split("t", "\n"), lambda l: ~l.startswith("#") & (F.length(F.trim(l)) > 0))
-    return parts.select(lines.alias("lines")).where(F.exists("lines", lambda l: l.startswith("s "))).select(
+    return parts.select(lines.alias("lines")).where(F.exists("lines", lambda l: l.rlike(r"^s\s"))).select(
         F.monotonically_increasing_id().alias("block_id"), "lines")
 
 
