@@ -20,8 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from lociweave.llm import quality as machine
 
     model = machine.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    return machine.score(rows, model, keep=("_row",)).where("score >= 0.5").select("_row.*")
+    return machine.score(docs, model, keep=tuple(docs.columns), name="_machine_score").where("_machine_score >= 0.5").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,8 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return fit(Rows.collected(got), y, weight)
 
 
-def score(docs: DataFrame, model: Machine | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns `keep` and score (double, 0 to 1) of every whole text."""
+def score(docs: DataFrame, model: Machine | None, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """Columns `keep` and the score (double, 0 to 1) of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WORDS * (FACTORS + 1) numbers
 
     def make():
@@ -168,14 +168,16 @@ def score(docs: DataFrame, model: Machine | None, keep: tuple[str, ...] = ("doc_
             if m is None:
                 found = np.full(batch.num_rows, 0.5)
             else:
-                rows = [reader.row(t) for t in batch.column("_text").to_pylist()]
-                found = m.score(Rows(np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]),
-                                     np.array([len(i) for i, _ in rows], np.int64)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, pa.float64())], [*keep, "score"])
+                texts, found = batch.column("text" if "text" in keep else "_text"), np.zeros(batch.num_rows)
+                for k in range(0, len(found), 128):  # factors of few rows at a time
+                    rows = [reader.row(t or "") for t in texts.slice(k, 128).to_pylist()]
+                    found[k:k + 128] = m.score(Rows(np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]),
+                                                    np.array([len(i) for i, _ in rows], np.int64)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, pa.float64())], [*keep, name])
         return step
 
-    rows = docs.select(*keep, text_of().alias("_text"))
-    return map_batches(rows, make, extended(docs, keep, "score double"))
+    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, text_of().alias("_text"))
+    return map_batches(rows, make, extended(docs, keep, f"{name} double"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
