@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import rates
@@ -358,6 +359,43 @@ def _(spark, sf):
     return t.select("sample", *[(F.round(F.col(f"`{l}`"), 6) + F.lit(0.0)).alias(l) for l in M.LABELS])
 
 
+FEATURES = f"""{SAMPLE_SPECTRUM}, o as (select trio || '_' || species as trio, "mutType", coalesce({OBS}, 0.0) as obs from spectrum),
+  f as (select trio as sample, "mutType", log2((obs + 1e-12) / greatest(avg(obs) over (partition by trio), 1e-12)) as v from o)"""
+
+
+@query("standardised_features", f"""{FEATURES}, z as (select sample, "mutType", v - avg(v) over w as d, stddev_samp(v) over w as s from f window w as (partition by "mutType"))
+  select sample, "mutType", {rnd('case when s > 0 then d / s else 0.0 end', 5)} as z from z""")
+def _(spark, sf):
+    scaled = M.standardised(M.feature_vectors(_features(spark, sf), "sample"))
+    z = scaled.select("sample", F.posexplode(vector_to_array("scaled")).alias("i", "z"))
+    return rounded(z.select("sample", F.array(*[F.lit(l) for l in M.LABELS])[F.col("i")].alias("mutType"), "z"), "z", places=5)
+
+
+SAMPLES = "n as (select count(distinct source) * 2 as n from documents)"
+
+
+@query("component_checks", f"""with {SAMPLES} select cast(c as integer) as component, n as samples, true as centred, true as in_order from n, range(1, 4) t(c)""")
+def _(spark, sf):
+    projected, _variance = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 3)
+    pc = projected.select("sample", F.posexplode(vector_to_array("pc")).alias("i", "v"))
+    per = pc.groupBy((F.col("i") + 1).alias("component")).agg(F.count("*").alias("samples"), (F.abs(F.avg("v")) < 1e-6).alias("centred"), F.var_samp("v").alias("variance"))
+    one = F.collect_list(F.struct("component", "samples", "centred", "variance"))  # three rows
+    rows = per.agg(F.array_sort(one).alias("r")).select(F.posexplode("r").alias("k", "x"), "r")
+    return rows.select("x.component", "x.samples", "x.centred",
+                       ((F.col("k") == 0) | (F.get("r", F.col("k") - 1)["variance"] + 1e-9 >= F.col("x.variance"))).alias("in_order"))
+
+
+@query("cluster_checks", f"""with {SAMPLES} select n as placed, n as counted, true as k_in_range, true as complete from n""")
+def _(spark, sf):
+    projected, _v = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 2)
+    clusters, scores = M.best_kmeans(projected, "sample")
+    t = M.cluster_table(projected, clusters, "sample")
+    per = t.groupBy("cluster").agg(F.count("*").alias("n"), F.first("samples").alias("samples"))
+    n = F.sum("n")
+    return per.agg(n.alias("placed"), F.sum("samples").alias("counted"), F.count("*").between(F.lit(2), F.least(F.lit(10), n - 1)).alias("k_in_range"),
+                   (F.lit(len(scores)) == F.least(F.lit(10), n - 1) - 1).alias("complete"))
+
+
 @query("principal_components")
 def _(spark, sf):
     projected, _variance = M.principal_components(M.feature_vectors(_features(spark, sf), "sample"), "sample", 2)

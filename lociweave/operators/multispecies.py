@@ -33,11 +33,14 @@ def feature_vectors(table: DataFrame, species: str) -> DataFrame:
     return VectorAssembler(inputCols=safe, outputCol="features").transform(renamed).select(species, "features")
 
 
+def standardised(vectors: DataFrame) -> DataFrame:
+    """`scaled`: every feature less its mean, over its sample deviation; constant features are 0."""
+    return StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(vectors).transform(vectors)
+
+
 def principal_components(vectors: DataFrame, species: str, k: int = 2) -> tuple[DataFrame, list[float]]:
     """Standardised features projected on k components (signs are arbitrary), and the explained variance."""
-    vectors = cut_lineage(vectors)  # one row per species, read by three fits
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(vectors)
-    scaled = scaler.transform(vectors)
+    scaled = standardised(cut_lineage(vectors))  # one row per species, read by three fits
     model = PCA(k=k, inputCol="scaled", outputCol="pc").fit(scaled)
     return model.transform(scaled).select(species, "scaled", "pc"), [float(v) for v in model.explainedVariance]
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 TRIO = ("a", "b", "c")
 PAIR = ("a", "b")
+#: Columns of a part of a long block: windows are made a part at a time.
+LONG = 1 << 16
 
 
 def _columns_count(sides: Sequence[str]) -> Column:
@@ -26,15 +28,20 @@ def _columns_count(sides: Sequence[str]) -> Column:
 
 
 def windows(aln: DataFrame, width: int, sides: Sequence[str] = TRIO, keep: Sequence[str] = ()) -> DataFrame:
-    """keep columns, `col` (0-based start column) and one `win_x` string per side, upper case."""
+    """keep columns, `col` (0-based start column) and one `win_x` string per side, upper case.
+
+    Positions are made LONG at a time, so a block of any length is neither copied nor listed as a whole.
+    """
     prepared = aln.select(
         *keep,
         *[F.upper(F.col(f"seq_{s}")).cast("binary").alias(f"_b_{s}") for s in sides],
         (_columns_count(sides) - (width - 1)).alias("_n"),
     )
     # no filter on _n: it would be pushed to the scan and recompute the sequences there
-    positions = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))
-    exploded = prepared.select(*keep, *[f"_b_{s}" for s in sides], F.explode(positions).alias("_i"))
+    marks = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n"), F.lit(LONG)))
+    marked = prepared.select("*", F.explode(marks).alias("_mark"))
+    positions = F.sequence(F.col("_mark"), F.least(F.col("_n"), F.col("_mark") + (LONG - 1)))
+    exploded = marked.select(*keep, *[f"_b_{s}" for s in sides], F.explode(positions).alias("_i"))
     return exploded.select(
         *keep,
         (F.col("_i") - 1).alias("col"),
@@ -70,28 +77,51 @@ def window_counts(aln: DataFrame, width: int, sides: Sequence[str] = TRIO, keys:
     return counts if rule is None else counts.where(F.when(rule, F.col("n")) > 0)
 
 
-def split_long_blocks(aln: DataFrame, limit: int, overlap: int, sides: Sequence[str] = TRIO,
-                      ordinal: str = "_part") -> DataFrame:
-    """Cut blocks longer than `limit` columns into parts that share `overlap` columns.
+def _bases(text: Column) -> Column:
+    return F.length(F.translate(text.cast("string"), "-", "")).cast("bigint")
+
+
+def block_parts(aln: DataFrame, limit: int, overlap: int, sides: Sequence[str] = TRIO, ordinal: str | None = None) -> DataFrame:
+    """Blocks as parts of `limit` columns that share `overlap` columns with the next; shorter blocks are one part.
 
-    Use overlap = window width - 1: each window then falls in exactly one part. Only
-    the long blocks are moved (rebalanced by size at run time), short ones stay where they are. start_x
-    is advanced by the bases before the part, so coordinates stay right.
+    Sequences are cut as BINARY, and bases before a part come from counts of one pass, so the work grows with the
+    block's length alone. start_x, end_x and plines of a part are its own; other columns are repeated.
+    """
+    names = set(aln.columns)
+    n = F.length(F.col(f"seq_{sides[0]}"))
+    seqs = {f"seq_{s}": s for s in sides}
+    starts = {f"start_{s}" for s in sides} & names
+    ends = {f"end_{s}" for s in sides if f"start_{s}" in names} & names
+    rest = [c for c in aln.columns if c not in {*seqs, *starts, *ends, "plines"}]
+    marks = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(limit))
+    cut = lambda c, at, size: F.substring(c, at + 1, F.lit(size))
+    binary = aln.select(
+        *rest, *sorted(starts), *[F.col(q).cast("binary").alias(q) for q in seqs], *(["plines"] if "plines" in names else []), marks.alias("_marks"))
+
+    def counts(s: str) -> Column:
+        return F.transform("_marks", lambda m: _bases(cut(F.col(f"seq_{s}"), m, limit))).alias(f"_n_start_{s}")
+
+    counted = binary.select("*", *[counts(c[-1]) for c in sorted(starts)])
+    each = counted.select("*", F.posexplode("_marks").alias("_part_no", "_from"))
+    before = lambda c: F.aggregate(F.slice(f"_n_{c}", 1, F.col("_part_no")), F.lit(0).cast("bigint"), lambda x, y: x + y)
+    part = lambda s: cut(F.col(f"seq_{s}"), F.col("_from"), limit + overlap).cast("string")
+    return each.select(
+        *rest, *[part(s).alias(q) for q, s in seqs.items()],
+        *[(F.col(c) + before(c)).alias(c) for c in sorted(starts)],
+        *[(F.col(f"start_{c[-1]}") + before(f"start_{c[-1]}") + _bases(part(c[-1]))).alias(c) for c in sorted(ends)],
+        *([F.transform("plines", lambda p: cut(p.cast("binary"), F.col("_from"), limit + overlap).cast("string")).alias("plines")] if "plines" in names else []),
+        *([F.col("_part_no").alias(ordinal)] if ordinal else []))
+
+
+def split_long_blocks(aln: DataFrame, limit: int = LONG, overlap: int = 3, sides: Sequence[str] = TRIO, ordinal: str = "_part") -> DataFrame:
+    """Cut blocks longer than `limit` columns into parts that share `overlap` columns (see `block_parts`).
+
+    Use overlap = window width - 1: each window then falls in exactly one part. Only the long blocks are moved
+    (rebalanced by size at run time), short ones stay where they are.
     """
     n = F.length(F.col(f"seq_{sides[0]}"))
-    seqs = {f"seq_{s}" for s in sides}
-    starts = {f"start_{s}" for s in sides} & set(aln.columns)
     plain = aln.where(n <= limit).withColumn(ordinal, F.lit(0))
-    rest = [c for c in aln.columns if c not in seqs | starts]
-    long_ = aln.where(n > limit).withColumn(
-        "_from", F.explode(F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(limit))))
-    parts = long_.select(
-        *rest,
-        *[F.substring(F.col(f"seq_{s}"), F.col("_from") + 1, F.lit(limit + overlap)).alias(f"seq_{s}") for s in sides],
-        *[(F.col(c) + F.length(F.replace(F.substring(F.col(f"seq_{c[-1]}"), F.lit(1), F.col("_from")), F.lit("-"), F.lit("")))
-           ).alias(c) for c in sorted(starts)],
-        (F.col("_from") / limit).cast("int").alias(ordinal),
-    )
+    parts = block_parts(aln.where(n > limit), limit, overlap, sides, ordinal)
     return plain.unionByName(parts.hint("rebalance"))
 
 

@@ -123,3 +123,31 @@ def test_strand_flip_and_weights(spark, folder):
 def test_lengths_must_agree(spark, folder):
     with pytest.raises(Exception, match="differ in length"):
         spectra.tri_spectrum(trio(spark, folder, block("CAG", "CAGT", "CAG"))).collect()
+
+
+def test_long_blocks_with_error_lines(spark):
+    import random
+
+    from lociweave.operators import spectra as S
+    from lociweave.operators.windows import split_long_blocks
+    rng = random.Random(3)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    rows = []
+    for k, n in enumerate((7, 300, 1001)):
+        a = text(n, "ACGTACGT-")
+        b = "".join(c if rng.random() < 0.8 else rng.choice("ACGT-") for c in a)
+        c = "".join(x if rng.random() < 0.8 else rng.choice("ACGT-") for x in a)
+        size = [len(x.replace("-", "")) for x in (a, b, c)]
+        rows.append((k, "x", 10, 10 + size[0], "+", 9999, a, "y", 20, 20 + size[1], "-", 9999, b, "z", 30, 30 + size[2], "+", 9999, c, [text(n, "456789"), text(n, "5678")]))
+    kinds = " ".join(f"chr_{s} string, start_{s} long, end_{s} long, strand_{s} string, len_{s} long, seq_{s} string," for s in "abc")
+    whole = spark.createDataFrame(rows, f"block_id long, {kinds} plines array<string>")
+    parts = split_long_blocks(whole, 64, 2)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(S.tri_spectrum_low_error(parts)) == key(S.tri_spectrum_low_error(whole))
+    for r in parts.collect():
+        assert all(len(p) == len(r.seq_a) for p in r.plines) and len(r.seq_a) <= 66
+        for s in "abc":
+            assert r[f"end_{s}"] - r[f"start_{s}"] == len(r[f"seq_{s}"].replace("-", ""))
+    one = sorted((r._part, r.start_b, r.seq_b) for r in parts.where("block_id = 2").collect())
+    for (k, start, seq), (_, after, _) in zip(one, one[1:]):
+        assert after - start == len(seq[:64].replace("-", ""))
