@@ -173,9 +173,9 @@ def _(spark, sf):
     return N.ranked(top.withColumn("tie", F.struct("don", "acc")), [], "count", 10, "tie").drop("tie")
 
 
-@query("frequent_signals", f"{JX} select don, acc, count(*) as \"count\" from jx group by 1, 2 having count(*) >= 100")
+@query("frequent_signals", f"{JX} select don, acc, count(*) as \"count\" from jx group by 1, 2 having count(*) >= 400")
 def _(spark, sf):
-    return R.signals_by_reads(R.junctions(reads(spark, sf))).where(F.col("count") >= 100)
+    return R.signals_by_reads(R.junctions(reads(spark, sf))).where(F.col("count") >= 400)
 
 
 # ---- features at intron ends -----------------------------------------------

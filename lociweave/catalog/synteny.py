@@ -22,12 +22,18 @@ from .sites import OBS
 from .spectra import COLS, SPECTRUM_CTE, aln3, genome, spectrum
 
 register("gene_spans", "part", [
-    ("chr", "concat('ref', p_partkey % 5)"), ("start", "(p_partkey * 13) % 20000"), ("\"end\"", "(p_partkey * 13) % 20000 + 40 + p_size * 3"),
+    ("chr", "concat('ref', p_partkey % 5)"), ("start", "p_partkey * 400"), ("\"end\"", "p_partkey * 400 + 40 + p_size * 3 + case when p_partkey % 10 = 0 then 2100 else 0 end"),
     ("strand", "case when p_partkey % 2 = 0 then '+' else '-' end"), ("gene", "p_partkey % 700"), ("product", "p_name"),
 ])
 register("ref_segments", "orders", [
-    ("segment_id", "o_orderkey"), ("chr", "concat('ref', o_custkey % 5)"), ("start", "(o_custkey * 41) % 20000"),
-    ("\"end\"", "(o_custkey * 41) % 20000 + 1 + o_custkey % 90"), ("strand", "case when o_orderkey % 3 = 0 then '-' else '+' end"),
+    # segments of one query place lie around one reference place; one gene in ten reaches over the next one
+    ("segment_id", "o_orderkey"), ("chr", "concat('ref', (o_orderkey % 2000 + case when o_custkey % 6 = 0 then 7 else 0 end) % 5)"), ("start", "(o_orderkey % 2000 + case when o_custkey % 6 = 0 then 7 else 0 end) * 400 + (o_custkey * 41) % 400"),
+    ("\"end\"", "(o_orderkey % 2000 + case when o_custkey % 6 = 0 then 7 else 0 end) * 400 + (o_custkey * 41) % 400 + 1 + o_custkey % 90"), ("strand", "case when o_orderkey % 3 = 0 then '-' else '+' end"),
+])
+# every other query place has two genes, the rest none
+register("query_genes", "part", [
+    ("chr", "concat('src', (p_partkey - p_partkey % 2) % 20)"), ("start", "(p_partkey - p_partkey % 2) * 200000 + (p_partkey * 997) % 3500"),
+    ("\"end\"", "(p_partkey - p_partkey % 2) * 200000 + (p_partkey * 997) % 3500 + 100 + p_size * 12"), ("gene", "p_partkey"),
 ])
 register("pair_blocks", "lineitem", [
     ("block_id", "l_orderkey * 10000000 + l_linenumber * 1000000 + l_partkey * 50 + cast(l_quantity as bigint)"),
@@ -47,7 +53,7 @@ def _load(name):
     return lambda spark, sf: inputs.load(spark, sf, name)
 
 
-gene_spans, ref_segments, pair_blocks, trio_pairs = (_load(n) for n in ("gene_spans", "ref_segments", "pair_blocks", "trio_pairs"))
+gene_spans, ref_segments, pair_blocks, trio_pairs, query_genes = (_load(n) for n in ("gene_spans", "ref_segments", "pair_blocks", "trio_pairs", "query_genes"))
 
 SEG = f"with {inputs.cte('segments')}"
 CLOSE = f"""{SEG}, g0 as (select *, start - lag("end") over w as gap from segments window w as (partition by chr order by start, "end", segment_id)),
@@ -85,23 +91,23 @@ def _links_sql(s: str) -> str:
       lag(block_id) over w as prev_id, lag(end_{s}) over w as pe, lead(start_{s}) over w as ns,
       max(end_{s}) over (partition by chr_{s}, strand_{s} order by start_{s}, block_id rows between unbounded preceding and 2 preceding) as reach
       from pair_blocks window w as (partition by chr_{s}, strand_{s} order by start_{s}, block_id)),
-    {s}1 as (select prev_id, block_id from {s}0 where prev_id is not null and start - pe between 0 and 200 and (reach is null or pe > reach) and (ns is null or start < ns))"""
+    {s}1 as (select prev_id, block_id from {s}0 where prev_id is not null and start - pe between 0 and 2000 and (reach is null or pe > reach) and (ns is null or start < ns))"""
 
 
 @query("unique_links", f"{PB}, {_links_sql('a')}, {_links_sql('b')} select prev_id, block_id from a1 intersect select prev_id, block_id from b1")
 def _(spark, sf):
-    return Y.unique_links(pair_blocks(spark, sf), 200)
+    return Y.unique_links(pair_blocks(spark, sf), 2000)
 
 
 # ---- genes -----------------------------------------------------------------
 
-QG = f"""{inputs.cte('features', 'gene_spans', 'ref_segments')},
-  qg as materialized (select distinct s.segment_id, f.gene from segments s left join features f on f.chr = s.chr and s.start < f."end" and f.start < s."end"),
+QG = f"""{inputs.cte('query_genes', 'gene_spans', 'ref_segments')},
+  qg as materialized (select distinct s.segment_id, f.gene from segments s left join query_genes f on f.chr = s.chr and s.start < f."end" and f.start < s."end"),
   rg as materialized (select distinct s.segment_id, f.gene from ref_segments s left join gene_spans f on f.chr = s.chr and s.start < f."end" and f.start < s."end")"""
 
 
 def _genes(spark, sf):
-    q = Y.genes_per_segment(segments(spark, sf), features(spark, sf), "segment_id", bin_size=1024)
+    q = Y.genes_per_segment(segments(spark, sf), query_genes(spark, sf), "segment_id", bin_size=1024)
     r = Y.genes_per_segment(ref_segments(spark, sf), gene_spans(spark, sf), "segment_id", bin_size=256)
     return q, r
 
@@ -209,12 +215,12 @@ def _(spark, sf):
         "segment_id", "gene", "gene_chr", "gene_start", "gene_end")
 
 
-@query("listed_alignments", f"""with {inputs.cte('reads')}, w as (select distinct g_chr, g_start, g_end, r_start, r_end, r_strand from reads where score > 40000)
+@query("listed_alignments", f"""with {inputs.cte('reads')}, w as (select distinct g_chr, g_start, g_end, r_start, r_end, r_strand from reads where score > 104000)
   select aln_id, r_id from reads join w using (g_chr, g_start, g_end, r_start, r_end, r_strand)""")
 def _(spark, sf):
     r = reads(spark, sf)
     keys = ["g_chr", "g_start", "g_end", "r_start", "r_end", "r_strand"]
-    return Y.listed_alignments(r, r.where("score > 40000"), keys).select("aln_id", "r_id")
+    return Y.listed_alignments(r, r.where("score > 104000"), keys).select("aln_id", "r_id")
 
 
 @query("lift_by_reference", f"""{SEG}, {inputs.cte('features')} select distinct s.segment_id from segments s join features f
@@ -475,9 +481,9 @@ def _(spark, sf):
 
 
 @query("good_quality", f"""with {inputs.cte('aln3')}, q as (select block_id, p1 as qual, length(regexp_replace(p1, '[!-7]', '', 'g')) as good from aln3)
-  select block_id from q where good * 100 >= 97.2 * length(qual)""")
+  select block_id from q where good * 100 >= 83 * length(qual)""")
 def _(spark, sf):
-    return Q.good_quality(aln3(spark, sf).select("block_id", F.col("p1").alias("qual")), quality=23, percent=97.2).select("block_id")
+    return Q.good_quality(aln3(spark, sf).select("block_id", F.col("p1").alias("qual")), quality=23, percent=83).select("block_id")
 
 
 @query("gff_features", """with gff as (
