@@ -49,14 +49,33 @@ def nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
-@query("op1_nearest_url_difference")
+#: Pages whose article is marked up by p, h1, b, br and a alone, as those of the tables are.
+ARTICLE_SQL = r"""with a as (select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') as x from pages),
+  b as (select page_id, url, list_filter(list_transform(regexp_split_to_array(x, '</?(?:p|h1)>'), lambda t: trim(regexp_replace(replace(replace(
+    regexp_replace(replace(t, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda t: t <> '') as l from a)
+  select page_id, url, array_to_string(l, chr(10)) as text, length(array_to_string(l, chr(10))) as n_chars from b"""
+
+
+@query("op1_nearest_url_difference", ARTICLE_SQL)
 def nearest_url_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import html_text
 
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-@query("op9_min_max_hashing")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: For tables whose doc_id are different and not null.
+NEAR_SQL = rf"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as ws from documents),
+  s as materialized (select distinct doc_id, array_to_string(ws[i:i + 3], ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) as i from w where len(ws) > 0)),
+  n as materialized (select doc_id, count(*) as n from s group by 1),
+  e as materialized (select a.doc_id as a, b.doc_id as b from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+    having 100 * count(*) >= 80 * ((select n from n where doc_id = a.doc_id) + (select n from n where doc_id = b.doc_id) - count(*))),
+  reach as (select doc_id as a, doc_id as b from documents union select r.a, e.b from reach r join e on e.a = r.b),
+  c as (select a, min(b) as component_id from reach group by 1)
+  select c.a as doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, c.a = c.component_id as kept from c left join n on n.doc_id = c.a"""
+
+
+@query("op9_min_max_hashing", NEAR_SQL)
 def min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import minmax
 
@@ -96,7 +115,19 @@ def _removed() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
-@query("op7_bwt_merge")
+BYTES_SQL = """with d as (select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as d, hex(coalesce(text, '')) as h from documents),
+  w as (select r, d, i, substr(h, 2 * i - 1, 100) as k from (select r, d, h, unnest(range(1, length(h) // 2 - 48)) as i from d)),
+  rep as (select r, i from (select r, i, d, min(d) over (partition by k) as m from w) where m < d),
+  isl as (select r, i, sum(f) over (partition by r order by i) as g from (select r, i, case when i > lag(i) over (partition by r order by i) + 50 then 1 else 0 end as f from rep)),
+  runs as materialized (select r, min(i) as a, max(i) + 50 as b from isl group by r, g),
+  n as (select r, cast(sum(b - a) as bigint) as n_removed, count(*) as n_spans from runs group by 1),
+  pieces as (select r, coalesce(lag(b) over (partition by r order by a), 1) as s, a as e from runs union all select r, max(b), 1000000000 from runs group by 1),
+  kept as (select r, string_agg(substr(h, 2 * s - 1, 2 * (e - s)), '' order by s) as k from pieces join d using (r) group by 1)
+  select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256
+  from d left join n using (r) left join kept using (r)"""
+
+
+@query("op7_bwt_merge", BYTES_SQL)
 def bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bwt_merge as method
 
@@ -104,7 +135,16 @@ def bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op8_prefix_suffix_trees")
+WORDS_SQL = r"""with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+  w as (select r, i, array_to_string(ws[i:i + 34], ' ') as k from (select r, ws, unnest(range(1, len(ws) - 33)) as i from d)),
+  rep as (select r, i from (select r, i, count(*) over (partition by k) as n from w) where n > 1),
+  gone as materialized (select distinct r, i + j as p from rep, range(0, 35) t(j)),
+  n as (select r, count(*) as n_removed from gone group by 1),
+  kept as (select t.r, string_agg(word, ' ' order by t.p) as k from (select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from d) t anti join gone g on g.r = t.r and g.p = t.p group by 1)
+  select doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256 from d left join n using (r) left join kept using (r)"""
+
+
+@query("op8_prefix_suffix_trees", WORDS_SQL)
 def prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import suffix_trees
 
