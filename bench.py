@@ -9,11 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lociweave.catalog import inputs, registry  # noqa: E402
+from lociweave.operators import spectra  # noqa: E402
 from lociweave.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -37,9 +39,12 @@ def main() -> None:
     queries = registry.queries()
     run(queries["tri_spectrum"](spark, sf_dir))  # warm the JVM once
     times = {name: run(queries[name](spark, sf_dir)) for name in HEADLINE}
+    stored = tempfile.mkdtemp(prefix="spark-") + "/aln3"
+    inputs.load(spark, sf_dir, "aln3").write.parquet(stored)
+    times["tri_spectrum_stored"] = run(spectra.tri_spectrum(spark.read.parquet(stored), ["trio"]))
     columns = inputs.load(spark, sf_dir, "aln3").selectExpr("sum(length(seq_a))").head()[0]
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
+        "metric": "headline_queries_total", "value": round(sum(times[q] for q in HEADLINE), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "alignment_columns": columns,
         "tri_spectrum_columns_per_sec": round(columns / times["tri_spectrum"])}))
     spark.stop()
