@@ -111,8 +111,10 @@ def tri_spectrum_low_error(aln: DataFrame, keys: Sequence[str] = (), lowest: str
     """
     if len(lowest) != 1:
         raise ValueError("lowest is one character")
+    marks = "".join(map(chr, range(32, 127)))
+    passed = "".join("!" if c < lowest else "1" for c in marks)
     flags = F.aggregate(
-        F.transform(F.col("plines"), lambda p: F.regexp_replace(F.regexp_replace(p, f"[^{lowest}-~]", "!"), f"[{lowest}-~]", "1")),
+        F.transform(F.col("plines"), lambda p: F.translate(p, marks, passed)),
         F.regexp_replace(F.upper("seq_a"), ".", "1"),
         lambda acc, p: F.when(~p.contains("!"), acc).when(~acc.contains("!"), p).otherwise(
             F.concat_ws("", F.zip_with(F.split(acc, ""), F.split(p, ""), lambda u, v: F.least(u, v)))),
