@@ -75,19 +75,21 @@ class Model:
     weights: np.ndarray
 
 
-def fit(rows: Rows, confirmed: np.ndarray, prior: float, steps: int = STEPS) -> Model | None:
-    """Adam on the non-negative risk; `confirmed` says which rows are confirmed toxic, the others are unlabelled."""
+def fit(columns: list[np.ndarray], confirmed: np.ndarray, prior: float, steps: int = STEPS) -> Model | None:
+    """Adam on the non-negative risk; `columns` are the rows' column sets, `confirmed` says which rows are confirmed toxic, the others are unlabelled."""
     if not confirmed.any():
         return None
-    seen = np.bincount(rows.index[confirmed[rows.row_of_entry()]], minlength=COLUMNS)
-    around = np.bincount(rows.index[~confirmed[rows.row_of_entry()]], minlength=COLUMNS)
+    counts = np.zeros((2, COLUMNS), np.int64)
+    for c, yes in zip(columns, confirmed.tolist()):
+        counts[int(yes), c] += 1
+    around, seen = counts
     expected = (around + 0.5) * confirmed.sum() / max((~confirmed).sum(), 1)
     active = np.flatnonzero((seen >= LEAST) & (seen - expected >= ABOVE * np.sqrt(expected + 0.1)))
-    local = np.full(COLUMNS, -1)
+    local = np.full(COLUMNS, -1, np.int32)
     local[active] = np.arange(len(active))
-    kept = local[rows.index] >= 0
-    size = rows.sums(kept.astype(float)).astype(np.int64)
-    rows = Rows(local[rows.index[kept]], np.ones(kept.sum(), np.float32), size)
+    kept = [x[x >= 0] for x in (local[c] for c in columns)]
+    size = np.array([len(x) for x in kept], np.int64)
+    rows = Rows(np.concatenate([*kept, np.zeros(0, np.int32)]), np.ones(size.sum(), np.float32), size)
     n = len(active)
     p, first, second = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     p[-1] = np.log(prior / (1 - prior))
@@ -133,10 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", confirmed: i
     # bounded by the two limits; in a fixed order, so that a repeated task fits the same model
     got = map_batches(texts_of(docs, toxic.unionByName(other)), make, "confirmed boolean, idx binary").collect()
     got.sort(key=lambda r: (r["confirmed"], bytes(r["idx"])))
-    idx = [np.frombuffer(r["idx"], np.int32) for r in got]
-    size = np.array([len(i) for i in idx], np.int64)
-    rows = Rows(np.concatenate([*idx, np.zeros(0, np.int32)]), np.ones(size.sum(), np.float32), size)
-    return fit(rows, np.array([r["confirmed"] for r in got], bool), min(max(prior, 1e-4), 1 - 1e-4))
+    columns = [np.frombuffer(r["idx"], np.int32) for r in got]
+    return fit(columns, np.array([r["confirmed"] for r in got], bool), min(max(prior, 1e-4), 1 - 1e-4))
 
 
 def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
