@@ -22,7 +22,7 @@ from .repeats import Method, repeated_spans
 
 LENGTH = 50
 SEED = 20
-SHARDS = 8
+SHARDS = 4
 
 
 def _before_end(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,11 +44,10 @@ def _eight(text: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 def _ranks(key: np.ndarray) -> np.ndarray:
     """Ranks from 1; equal keys have equal ranks."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     s = key[order]
-    rank = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]]))
     out = np.empty(len(key), np.int64)
-    out[order] = rank
+    out[order] = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]]))
     return out
 
 
@@ -61,7 +60,7 @@ def suffix_order(eight: np.ndarray, left: np.ndarray, length: int) -> np.ndarray
         later[:n - step] = np.where(left[:n - step] > step, rank[step:], 0)
         rank = _ranks(rank * (n + 2) + later)
         done += step
-    return np.argsort(rank, kind="stable")
+    return np.argsort(rank)
 
 
 def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
@@ -82,24 +81,23 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
         a = b
     own = np.concatenate(orders).astype(np.int32)
     shard = np.repeat(np.arange(len(orders), dtype=np.uint8), [len(o) for o in orders])
-    transform, inside, rest = two[own], place[own], left[own]
+    transform, inside, rest = two[own], place[own].astype(np.int32), left[own].astype(np.int32)
 
     # the first interleave is that of the suffixes' first bytes; entries whose suffix is shorter than the depth are over
     depth = 8
-    live = np.flatnonzero(rest >= depth)
+    live = np.flatnonzero(rest >= depth).astype(np.int32)
     key = eight[own[live]]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)  # of equal ones any comes first: only their shards count
     interleave, key = shard[live][order], key[order]
     border = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
     while depth < length:
         if not len(interleave):
             break
         # the k-th entry of a shard in the interleave is the k-th of its suffixes
-        turn = np.empty(len(live), np.int64)
-        turn[np.argsort(interleave, kind="stable")] = live
-        block = np.cumsum(border)
+        turn = _in_turn(interleave, live, len(orders))
+        block = np.cumsum(border, dtype=np.int32)
         step = min(2, length - depth)
-        can = inside[turn] >= step
+        can = np.flatnonzero(inside[turn] >= step)
         turn, block = turn[can], block[can]
         before = transform[turn] if step == 2 else transform[turn] & np.uint16(255)
         order = np.argsort(before, kind="stable")
@@ -107,11 +105,21 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
         border = np.concatenate([[True], (before[1:] != before[:-1]) | (block[1:] != block[:-1])])[:len(before)]
         depth += step
         live = live[rest[live] >= depth]
-    turn = np.empty(len(live), np.int64)
-    turn[np.argsort(interleave, kind="stable")] = live
+    turn = _in_turn(interleave, live, len(orders))
     return own[turn].astype(np.int64), np.cumsum(border)
 
 
+def _in_turn(interleave: np.ndarray, live: np.ndarray, shards: int) -> np.ndarray:
+    """The suffixes that the entries stand for: `live` holds all shards' suffixes, one shard after the other."""
+    turn = np.empty(len(live), np.int32)
+    a = 0
+    for k in range(shards):
+        at = np.flatnonzero(interleave == k)
+        turn[at] = live[a:a + len(at)]
+        a += len(at)
+    return turn
+
+
 def classes(contents: list[bytes]) -> np.ndarray:
     """A number for every window of every content in turn, equal for equal windows."""
     sizes = np.fromiter(map(len, contents), np.int64, len(contents))

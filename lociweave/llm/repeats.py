@@ -33,6 +33,7 @@ from .common import map_batches, shuffle_width, text_of
 #: Occurrences of a seed from which its segments are cut into windows.
 HOT = 20_000
 LAST = (1 << 63) - 1
+_PLACES = 1 << 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,16 +80,16 @@ def rolled(w: np.ndarray, k: int) -> np.ndarray:
 
 def anchors(h: np.ndarray, width: int) -> np.ndarray:
     """For every run of `width` hashes, the place of its least one, the leftmost of equal ones."""
-    value, place = h, np.arange(len(h), dtype=np.int32)
+    if len(h) > _PLACES:  # the places of a very long text don't fit beside the hash
+        return np.concatenate([k + anchors(h[k:k + _PLACES // 2 + width - 1], width) for k in range(0, len(h) - width + 1, _PLACES // 2)])
+    # the hash's high bits with the place below them: one minimum finds both, and the leftmost of equal ones
+    value = h & ~np.uint64(_PLACES - 1) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size < width:
         step = min(size, width - size)
-        left, right = value[:len(value) - step], value[step:]
-        take = right < left
-        value = np.where(take, right, left)
-        place = np.where(take, place[step:], place[:len(place) - step])
+        value = np.minimum(value[:len(value) - step], value[step:])
         size += step
-    return place
+    return (value & np.uint64(_PLACES - 1)).astype(np.int64)
 
 
 def segments(m: Method, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +266,7 @@ def _digest(content: bytes) -> int:
 
 
 #: Bytes of distinct contents that are indexed at a time; a seed's contents stay together.
-INDEXED = 1 << 20
+INDEXED = 1 << 18
 
 
 def _found_rows(rows: DataFrame, m: Method) -> DataFrame:
