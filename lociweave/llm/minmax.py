@@ -8,10 +8,12 @@ bands of three permutations (six values) are bucketed. With similarity s a pair
 Candidates are confirmed on the full sets. Exact copies (equal sets) are one node. Pairs of a bucket are never listed
 as a whole:
   1. each bucket names a leader (first by a hash of the id); every node is held against the leader that it shares
-     most buckets with, and components are formed;
-  2. pairs of node and leader that still lie in different components are held against each other;
-  3. in buckets that still hold several components, the nodes outside the bucket's largest one are held against all
-     nodes of other components. After that every candidate pair is linked, checked, or inside one component.
+     most buckets with;
+  2. pairs of node and leader that this leaves in different groups are held against each other, and components are formed;
+  3. in buckets that still hold several components, pairs of the nodes outside the bucket's largest one with nodes of other
+     components remain, unless the shingles that a node has alone rule a link out (two sets share at most what either has
+     in common with anyone). Each node's likeliest pair is confirmed first, then those that still lie across components.
+     After that every candidate pair is linked, checked, ruled out, or inside one component.
 
 Defined results: a null, empty or blank text has no shingles, links with nothing and is kept; a text with fewer words than
 a shingle is one shingle; equal texts form a group; a null id has a null component and is kept, and never speaks for a
@@ -27,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, map_batches, text_of
+from .common import BITS, bit_map, cut, map_batches, text_of
 from .components import components
 
 BANDS = 32
@@ -105,10 +107,32 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "s"])
         return step
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("_text")).join(nodes, "node", "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(bit_map(nodes.select(F.xxhash64("node").alias("h")), "h"))
+
+    def near():
+        def step(batch):
+            place = batch.column("h").to_numpy().view(np.uint64) >> np.uint64(64 - BITS)
+            yield batch.filter(pa.array((bits.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+        return step
+
+    # only texts that may be needed are exchanged; where the map is full, all are
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("_text"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
+    texts = map_batches(rows, near, "node long, _text string, h long").join(nodes, "node", "left_semi")
     return map_batches(texts, make, "node long, s binary").where("octet_length(s) > 0")
 
 
+def _unshared(sets: DataFrame) -> DataFrame:
+    """(node, unshared): how many of a node's shingles no other of the given nodes has."""
+    def make():
+        def step(batch):
+            sets_ = [np.frombuffer(s, np.int64) for s in batch.column("s").to_pylist()]
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets_])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(sets_), pa.int64())], ["node", "h"])
+        return step
+    once = map_batches(sets.select("node", "s"), make, "node long, h long").groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+    return once.groupBy("node").agg(F.count("*").alias("unshared"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
     def make():
@@ -137,37 +161,54 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
             .where("coalesce(c_a, a) != coalesce(c_b, b)").select("a", "b"))
 
 
+def _joined_up(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links: the components of components."""
+    if links.isEmpty():
+        return groups
+    of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    larger = components(between).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    moved = groups.join(larger, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    new = larger.select(F.col("component").alias("node"), F.col("whole").alias("component")).join(groups.select("node"), "node", "left_anti")
+    return cut(moved.unionByName(new))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     signed = cut(signatures(docs, width))
     own = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"))
-    heads = signed.select(F.col("doc_id").alias("node"), "set_key", "bands").join(own, ["set_key", "node"]).dropDuplicates(["set_key", "node"])
-    buckets = cut(heads.select("node", "n", F.explode("bands").alias("key")))
+    heads = cut(signed.select(F.col("doc_id").alias("node"), "set_key", "bands").join(own, ["set_key", "node"])
+                .dropDuplicates(["set_key", "node"]).select("node", "n", "bands"))
+    buckets = heads.select("node", "n", F.explode("bands").alias("key"))
     leaders = (buckets.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.struct(F.xxhash64("node"), "node")).alias("lead"), F.count("*").alias("m"))
                .where("m > 1").select("key", F.col("lead.node").alias("b"), F.col("lead.n").alias("nb")))
-    led = cut(buckets.join(leaders, "key").where(f"node != b and {_sizes_agree('n', 'nb', percent)}")
+    crowded = cut(buckets.join(leaders, "key"))
+    led = cut(crowded.where(f"node != b and {_sizes_agree('n', 'nb', percent)}")
               .groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("shared")))
-    crowded = buckets.join(leaders.select("key"), "key", "left_semi")
     sets = cut(_sets(docs, crowded.select("node").distinct(), width))
 
     best = led.groupBy("a").agg(F.max_by("b", F.struct("shared", F.xxhash64("b"), "b")).alias("b"))
-    links = cut(_confirmed(best, sets, percent))
-    groups = cut(components(links))
-    more = cut(_confirmed(_across(led, groups), sets, percent))
-    links = links.unionByName(more)
+    first = cut(_confirmed(best, sets, percent))
+    stars = first.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    links = first.unionByName(_confirmed(_across(led.join(best, ["a", "b"], "left_anti"), stars), sets, percent))
     groups = cut(components(links))
 
     placed = cut(crowded.join(groups, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c")))
     per = placed.groupBy("key", "c").agg(F.count("*").alias("k"))
     mixed = per.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("c", F.struct("k", "c")).alias("largest")).where("groups > 1")
     inside = placed.join(mixed.select("key", "largest"), "key")
-    out = inside.where("c != largest").select("key", F.col("node").alias("p"), F.col("n").alias("np"), F.col("c").alias("cp"))
-    rest = (inside.join(out, "key").where(f"c != cp and {_sizes_agree('n', 'np', percent)}")
-            .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-    done = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(done, ["a", "b"], "left_anti")
-    groups = components(links.unionByName(_confirmed(rest, sets, percent)))
+    own_share = _unshared(sets.join(inside.select("node").distinct(), "node"))
+    inside = cut(inside.join(own_share, "node", "left").withColumn("o", F.col("n") - F.coalesce("unshared", F.lit(0))))
+    out = inside.where("c != largest").select("key", F.col("node").alias("p"), F.col("n").alias("np"), F.col("c").alias("cp"), F.col("o").alias("op"))
+    left = (inside.join(out, "key").where(f"c != cp and 100 * least(o, op) >= {percent} * (n + np - least(o, op))")
+            .groupBy(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).agg(F.count("*").alias("shared")))
+    left = cut(left.join(led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    likely = (ends.groupBy("a").agg(F.max_by("b", F.struct("shared", F.xxhash64("b"), "b")).alias("b"))
+              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    groups = _joined_up(groups, cut(_confirmed(likely, sets, percent)))
+    groups = _joined_up(groups, cut(_confirmed(_across(left.join(likely, ["a", "b"], "left_anti"), groups), sets, percent)))
 
     node_of = own.join(groups, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return (signed.select("doc_id", "n_shingles", "set_key").join(node_of, "set_key", "left")
