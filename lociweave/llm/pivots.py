@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-PIVOTS reference points are drawn from the vectors. A vector is described by its NEAREST reference points in order of distance.
+PIVOTS reference points are drawn from the vectors, no two of them with a cosine of APART or more: else a dense group would
+supply many, and its members would name different ones of them as nearest. A vector is described by its NEAREST reference points in order of distance.
 Vectors of one label that share at least SHARED of them are candidates: inverted lists are kept for pairs of
 pivots (lists of single pivots would be long), and the pairs that two vectors have in common are counted; s shared pivots
 make s(s-1)/2 of them. Candidates are verified by their cosine in double precision. All vectors are indexed.
@@ -25,6 +26,8 @@ from .common import cut, map_batches
 from .components import components
 
 PIVOTS = 128
+#: Vectors drawn for each reference point that is wanted, and the cosine from which a drawn one is passed over.
+DRAWN, APART = 32, 0.9
 NEAREST = 8
 SHARED = 3
 #: Tasks' worth of one inverted list: its members' second ends are dealt over so many.
@@ -44,14 +47,16 @@ def _unit(vector) -> np.ndarray | None:
 
 
 def reference_points(vectors: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
-    """n vectors, the first by a hash of their components, as unit vectors by their length; bounded by n."""
+    """At most n unit vectors of each length, the first by a hash of their components that aren't close to an earlier one; n * DRAWN are looked at."""
     drawn = (vectors.where("embedding is not null and label is not null and vec_id is not null").select("embedding").distinct()
-             .orderBy(F.xxhash64("embedding"), F.hash("embedding")).limit(2 * n).collect())
+             .orderBy(F.xxhash64("embedding"), F.hash("embedding")).limit(DRAWN * n).toArrow())
     by_size: dict[int, list[np.ndarray]] = {}
-    for r in drawn:
-        if (u := _unit(r["embedding"])) is not None:
-            by_size.setdefault(len(u), []).append(u)
-    return {k: np.array(v[:n]) for k, v in by_size.items()}
+    for r in drawn.column("embedding"):
+        if (u := _unit(r.as_py())) is not None:
+            kept = by_size.setdefault(len(u), [])
+            if len(kept) < n and all(u @ v < APART for v in kept):
+                kept.append(u)
+    return {k: np.array(v) for k, v in by_size.items()}
 
 
 def described(vectors: DataFrame, points: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:

@@ -431,3 +431,15 @@ def test_index_recall(spark):
     got = {r.vec_id: r.n_links for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
     found = np.array([got[i] for i, _, _ in rows])
     assert (found <= true + 1).all() and found.sum() >= 0.9 * true.sum() > 100
+
+
+def test_dense_group_recall(spark):
+    """Nearly all links of distinct near copies that hold a third of the rows."""
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=16)
+    x = np.vstack([centre + rng.normal(size=(400, 16)) * 0.13, rng.normal(size=(800, 16))])
+    units = np.array([pivots._unit(v) for v in x.tolist()])
+    true = (units @ units.T >= 0.98).sum() - len(x)
+    df = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in pivots.near_duplicates(df).collect())
+    assert true > 50_000 and 0.99 * true <= found <= true + 2
