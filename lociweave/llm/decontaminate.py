@@ -2,9 +2,8 @@
 
 1. The word n-grams of all items set bits in a map of fixed size (BITS). Every document is read once against it; its
    n-grams with a set bit are its hits. Hits that follow each other make a region, which is kept with the words around.
-2. Document frequencies of the hit n-grams are counted over all documents, and weigh an n-gram by its rarity:
-   ln((documents + 1) / (frequency + 1)). Regions and items are joined on their n-grams. A pair is a candidate when the shared
-   n-grams have SHARE of the item's whole weight and are at least two (one, if the item has no more).
+2. Regions and items are joined on their n-grams. A pair is a candidate when it shares at least two (one, if the item has no
+   more), however common they are: an alignment of THRESHOLD with many short edits doesn't imply more.
 3. Smith-Waterman alignment of the words scores candidates (match 2, mismatch and gap -1); the score is divided by that of
    the whole item against itself. Pairs from THRESHOLD count as contaminated.
 
@@ -27,7 +26,6 @@ from .common import BITS, bit_map, cut, map_batches, text_of
 N = 3
 #: Words between two hits of one region, and words kept on either side of it.
 GAP, AROUND = 24, 32
-SHARE = 0.1
 THRESHOLD = 0.6
 _WORDS = re.compile(r"\w+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -64,7 +62,7 @@ def item_grams(items: DataFrame) -> DataFrame:
 
 
 def hits_of(docs: DataFrame, bits: np.ndarray, least: int) -> DataFrame:
-    """For each document with hits: a row (start null) with all its distinct hit n-grams, and one for each region with `least` of them."""
+    """A row for each region of a document with `least` distinct hit n-grams."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make():
@@ -79,7 +77,6 @@ def hits_of(docs: DataFrame, bits: np.ndarray, least: int) -> DataFrame:
                 at = np.flatnonzero(table[place >> 3] >> (place & 7).astype(np.uint8) & 1)
                 if not len(at):
                     continue
-                out.append((doc, None, None, np.unique(g[at]).view(np.int64)))
                 for run in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
                     inside = np.unique(g[run])
                     if len(inside) < least:
@@ -109,10 +106,14 @@ def align(a: np.ndarray, b: np.ndarray) -> float:
     return best
 
 
-def similarity(item: str, words: str) -> float:
+def similarity(item: str, words: str, least: float = 0.0) -> float:
+    """Score of the alignment; 0 where the words in common, whatever their order, can't reach `least`."""
     numbers: dict[str, int] = {}
     a, b = (np.array([numbers.setdefault(w, len(numbers)) for w in x], np.int64) for x in (words_of(item), words.split()))
-    return align(a, b) / (2 * len(a)) if len(a) else 0.0
+    if not len(a):
+        return 0.0
+    common = np.minimum(np.bincount(a, minlength=len(numbers)), np.bincount(b, minlength=len(numbers))).sum()
+    return align(a, b) / (2 * len(a)) if common / len(a) >= least else 0.0
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -120,18 +121,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     of_items = cut(item_grams(items))
     least = of_items.groupBy("item_id").count().agg(F.least(F.lit(2), F.min("count"))).head()[0] or 2
     found = cut(hits_of(docs, bit_map(of_items, "gram"), least))
-    n = docs.select(F.count("*").alias("n_docs"))
-    frequency = (found.where("start is null").select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df")))
-    weighed = (of_items.join(frequency, "gram", "left").crossJoin(F.broadcast(n))  # n is one row
-               .select("item_id", "gram", F.log((F.col("n_docs") + 1) / (F.coalesce("df", F.lit(0)) + 1)).alias("w")))
-    whole = weighed.groupBy("item_id").agg(F.sum("w").alias("all_w"), F.count("*").alias("all_n"))
-    weighed = cut(weighed.join(whole, "item_id"))
-    regions = found.where("start is not null").select("doc_id", "start", F.xxhash64("words").alias("text_key"), F.explode("grams").alias("gram"))
-    pairs = (regions.join(weighed, "gram").groupBy("doc_id", "start", "text_key", "item_id")
-             .agg(F.sum("w").alias("w"), F.countDistinct("gram").alias("n"), F.first("all_w").alias("all_w"), F.first("all_n").alias("all_n"))
-             .where((F.col("w") >= SHARE * F.col("all_w")) & (F.col("n") >= F.least(F.lit(2), "all_n")))
-             .select("doc_id", "start", "text_key", "item_id"))
-    texts = (found.where("start is not null").select("doc_id", "start", "words", F.xxhash64("words").alias("text_key"))
+    whole = of_items.groupBy("item_id").agg(F.count("*").alias("all_n"))
+    regions = found.select("doc_id", "start", F.xxhash64("words").alias("text_key"), F.explode("grams").alias("gram"))
+    pairs = (regions.join(cut(of_items.join(whole, "item_id")), "gram").groupBy("doc_id", "start", "text_key", "item_id")
+             .agg(F.countDistinct("gram").alias("n"), F.first("all_n").alias("all_n"))
+             .where(F.col("n") >= F.least(F.lit(2), "all_n")).select("doc_id", "start", "text_key", "item_id"))
+    texts = (found.select("doc_id", "start", "words", F.xxhash64("words").alias("text_key"))
              .dropDuplicates(["doc_id", "start", "text_key"]))
     item_texts = items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("item"))
     both = (pairs.alias("p").join(texts.alias("t"), F.expr("p.doc_id <=> t.doc_id and p.start = t.start and p.text_key = t.text_key"))
@@ -139,7 +134,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
     def make():
         def step(batch):
-            score = [similarity(i, w) for i, w in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist())]
+            score = [similarity(i, w, threshold) for i, w in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), pa.array(score, pa.float64())], ["doc_id", "item_id", "score"])
         return step
 

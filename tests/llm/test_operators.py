@@ -239,6 +239,16 @@ def test_decontamination(spark, docs, no_docs):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_common_edited_copies(spark):
+    """A third of the documents hold one item with every fifth word replaced."""
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(60)]
+    edited = " ".join("new" + w if k % 5 == 2 else w for k, w in enumerate(words))
+    df = spark.createDataFrame([(k, prose(rng, 20) + " " + (edited if k % 3 == 0 else prose(rng, 40))) for k in range(1200)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.contaminated(df, bench).collect()} == set(range(0, 1200, 3))
+
+
 def test_alignment():
     rng = random.Random(2)
     for _ in range(100):
