@@ -1,9 +1,10 @@
 """Passages of test items in documents, exact, edited or paraphrased.
 
 1. The word n-grams of all items set bits in a map of fixed size (BITS). Every document is read once against it; its
-   n-grams with a set bit are its hits. Hits that follow each other make a region, which is kept with the words around.
-2. Regions and items are joined on their n-grams. A pair is a candidate when it shares at least two (one, if the item has no
-   more), however common they are: an alignment of THRESHOLD with many short edits doesn't imply more.
+   n-grams with a set bit are its hits, kept with their places.
+2. Hits and items are joined on their n-grams. The hits of one item in one document that follow each other within 3 - 2 * THRESHOLD
+   times the item's length make a chain: an alignment of THRESHOLD can't cover more, with all words matched and gaps for the rest. A chain of at least two different n-grams (one, if
+   the item has no more), however common they are, is a candidate; its window is the words of the chain and as many on either side.
 3. Smith-Waterman alignment of the words scores candidates (match 2, mismatch and gap -1); the score is divided by that of
    the whole item against itself. Pairs from THRESHOLD count as contaminated.
 
@@ -14,6 +15,7 @@ id; repeated ids of documents or items count once, with their best score; empty
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -24,8 +26,6 @@ from pyspark.sql import DataFrame, functions as F
 from .common import BITS, bit_map, cut, map_batches, text_of
 
 N = 3
-#: Words between two hits of one region, and words kept on either side of it.
-GAP, AROUND = 24, 32
 THRESHOLD = 0.6
 _WORDS = re.compile(r"\w+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -48,47 +48,76 @@ def grams(words: list[str]) -> np.ndarray:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item_id, gram): distinct n-grams of each item."""
+    """(item_id, gram, length, need): distinct n-grams of each item, with its words and the n-grams that a chain needs."""
     def make():
         def step(batch):
-            ids, found = [], []
+            ids, found, sizes, needs = [], [], [], []
             for i, t in zip(batch.column("item_id").to_pylist(), batch.column("_text").to_pylist()):
-                g = np.unique(grams(words_of(t)))
+                words = words_of(t)
+                g = np.unique(grams(words))
                 ids += [i] * len(g)
+                sizes += [len(words)] * len(g)
+                needs += [min(2, len(g))] * len(g)
                 found.append(g.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64())], ["item_id", "gram"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]), pa.int64()),
+                                              pa.array(sizes, pa.int32()), pa.array(needs, pa.int32())], ["item_id", "gram", "length", "need"])
         return step
-    return map_batches(items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("_text")), make, "item_id long, gram long").distinct()
+    rows = map_batches(items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("_text")), make, "item_id long, gram long, length int, need int")
+    own = cut(rows.distinct())
+    whole = own.groupBy("item_id").agg(F.max("length").alias("length"), F.min("need").alias("need"))  # an id can repeat
+    return own.select("item_id", "gram").distinct().join(whole.withColumnRenamed("item_id", "_id"), F.expr("item_id <=> _id")).drop("_id")
 
 
 def hits_of(docs: DataFrame, bits: np.ndarray, least: int) -> DataFrame:
-    """A row for each region of a document with `least` distinct hit n-grams."""
+    """doc_id, text_key and the hits (gram, at) of each document with `least` distinct ones."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make():
         table = shared.value
 
         def step(batch):
-            out: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()):
-                words = words_of(text)
-                g = grams(words)
+            ids, keys, found, places = [], [], [], []
+            for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("_text").to_pylist()):
+                g = grams(words_of(text))
                 place = (g >> np.uint64(64 - BITS)).astype(np.int64)
                 at = np.flatnonzero(table[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                if not len(at):
+                if len(at) < least or len(np.unique(g[at])) < least:
                     continue
-                for run in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
-                    inside = np.unique(g[run])
-                    if len(inside) < least:
-                        continue
-                    lo, hi = max(0, run[0] - AROUND), run[-1] + N + AROUND
-                    out.append((doc, int(run[0]), " ".join(words[lo:hi]), inside.view(np.int64)))
+                ids.append(doc)
+                keys.append(key)
+                found.append(g[at].view(np.int64))
+                places.append(at.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                ["doc_id", "text_key", "grams", "places"])
+        return step
+    found = map_batches(keyed(docs), make, "doc_id long, text_key long, grams array<long>, places array<int>").dropDuplicates(["doc_id", "text_key"])
+    return found.select("doc_id", "text_key", F.explode(F.arrays_zip("grams", "places")).alias("hit")).select("doc_id", "text_key", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("at"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("_text"))
+
+
+def windows(docs: DataFrame, chains: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, item_id, words) of every chain that can hold its item; `chains` has the hits of each item of a document in `found`."""
+    def make():
+        def step(batch):
+            out: list[tuple] = []
+            for doc, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist(), batch.column("found").to_pylist()):
+                words = words_of(text)
+                g = grams(words)
+                for x in found:
+                    at, reach = np.unique(np.array(x["places"])), math.ceil((3 - 2 * threshold) * x["length"])
+                    for run in np.split(at, np.flatnonzero(np.diff(at) > reach) + 1):
+                        if len(run) >= x["need"] and len(np.unique(g[run])) >= x["need"]:
+                            out.append((doc, x["item_id"], " ".join(words[max(0, run[0] - reach):run[-1] + N + reach])))
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
-                pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.list_(pa.int64()))], ["doc_id", "start", "words", "grams"])
+                pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.string())], ["doc_id", "item_id", "words"])
         return step
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")), make,
-                       "doc_id long, start long, words string, grams array<long>")
+    held = (keyed(docs).alias("d").join(chains.alias("c"), F.expr("d.doc_id <=> c.doc_id and d.text_key = c.text_key"))
+            .select("d.doc_id", "d._text", "c.found"))
+    return map_batches(held, make, "doc_id long, item_id long, words string")
 
 
 def align(a: np.ndarray, b: np.ndarray) -> float:
@@ -119,18 +148,14 @@ def similarity(item: str, words: str, least: float = 0.0) -> float:
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score): items found in documents, with their best score."""
     of_items = cut(item_grams(items))
-    least = of_items.groupBy("item_id").count().agg(F.least(F.lit(2), F.min("count"))).head()[0] or 2
-    found = cut(hits_of(docs, bit_map(of_items, "gram"), least))
-    whole = of_items.groupBy("item_id").agg(F.count("*").alias("all_n"))
-    regions = found.select("doc_id", "start", F.xxhash64("words").alias("text_key"), F.explode("grams").alias("gram"))
-    pairs = (regions.join(cut(of_items.join(whole, "item_id")), "gram").groupBy("doc_id", "start", "text_key", "item_id")
-             .agg(F.countDistinct("gram").alias("n"), F.first("all_n").alias("all_n"))
-             .where(F.col("n") >= F.least(F.lit(2), "all_n")).select("doc_id", "start", "text_key", "item_id"))
-    texts = (found.select("doc_id", "start", "words", F.xxhash64("words").alias("text_key"))
-             .dropDuplicates(["doc_id", "start", "text_key"]))
+    least = of_items.agg(F.min("need")).head()[0] or 2
+    hits = hits_of(docs, bit_map(of_items, "gram"), least)
+    chains = (hits.join(of_items, "gram").groupBy("doc_id", "text_key", "item_id")
+              .agg(F.collect_list("at").alias("places"), F.first("length").alias("length"), F.first("need").alias("need"))
+              .where(F.size("places") >= F.col("need"))
+              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_id", "length", "need", "places")).alias("found")))
     item_texts = items.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("item"))
-    both = (pairs.alias("p").join(texts.alias("t"), F.expr("p.doc_id <=> t.doc_id and p.start = t.start and p.text_key = t.text_key"))
-            .select("p.doc_id", "p.item_id", "t.words").join(item_texts, "item_id"))
+    both = windows(docs, cut(chains), threshold).join(item_texts, "item_id")
 
     def make():
         def step(batch):

@@ -239,6 +239,20 @@ def test_decontamination(spark, docs, no_docs):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_copies_with_one_long_edit(spark):
+    """Words inserted or rewritten near the middle of a copy, which as a whole still passes the threshold."""
+    rng = random.Random(13)
+    new = lambda n, tag: [f"{tag}{k}" for k in range(n)]
+    items, docs = [], []
+    for i, (size, cut_out, put_in) in enumerate([(59, 0, 25), (100, 0, 40), (100, 25, 25), (200, 35, 35), (40, 0, 30)]):
+        words, at = new(size, f"i{i}x"), (size - cut_out) // 2
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join([prose(rng, 200), *words[:at], *new(put_in, f"d{i}x"), *words[at + cut_out:], prose(rng, 200)])))
+    docs.append((5, " ".join([*items[0][1].split()[:30], *new(400, "far"), *items[0][1].split()[30:]])))  # too far apart
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.score, 2) for r in got} == {(0, 0): 0.79, (1, 1): 0.8, (2, 2): 0.62, (3, 3): 0.74, (4, 4): 0.62}
+
+
 def test_common_edited_copies(spark):
     """A third of the documents hold one item with every fifth word replaced."""
     rng = random.Random(12)
