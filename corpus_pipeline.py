@@ -23,20 +23,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return machine.score(docs, model, keep=tuple(docs.columns), name="_machine_score").where("_machine_score >= 0.5").select(docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a number that tells their rows apart by id and text, whether null or repeated."""
+    return docs.withColumn("_row_key", F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"), F.col("text").isNull()))
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """The texts under their number in place of the id."""
+    return keyed.select(F.col("_row_key").alias("doc_id"), "text")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest id. Rows that repeat an id stand or fall together."""
+    """One row of each group of near duplicates: that of the smallest id, null last. Rows are told apart by id and text; of equal ones, one stays."""
     from lociweave.llm import minmax
+    from lociweave.session import cut_lineage
 
-    others = minmax.near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    keyed = _keyed(docs)
+    groups = minmax.near_duplicates(_by_key(keyed), width=5, percent=80).select(F.col("doc_id").alias("_row_key"), "component_id").distinct()
+    rows = keyed.groupBy("_row_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    placed = cut_lineage(rows.join(groups, "_row_key").withColumn("place", F.struct(F.col("id").isNull(), "id", "_row_key")))
+    first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
+    others = placed.join(first, "component_id").where("place != first").select("_row_key")
+    left = keyed.join(others, "_row_key", "left_anti")
+    repeated = placed.where("n > 1").select("_row_key")
+    once = left.join(repeated, "_row_key", "left_anti")
+    return once.unionByName(left.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage; rows are told apart by id and text."""
     from lociweave.llm import decontaminate
 
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    keyed = _keyed(docs)
+    found = decontaminate.contaminated(_by_key(keyed), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_row_key")).distinct()
+    return keyed.join(found, "_row_key", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

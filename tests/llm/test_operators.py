@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lociweave.llm import bpe, bwt_merge, decontaminate, html_text, minmax, pii, pivots, quality, suffix_trees, toxicity
 from lociweave.llm.components import components
 
@@ -467,3 +468,18 @@ def test_dense_group_recall(spark):
     df = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
     found = sum(r.n_links for r in pivots.near_duplicates(df).collect())
     assert true > 50_000 and 0.99 * true <= found <= true + 2
+
+
+# ---------------------------------------------------------------- pipeline
+
+def test_stages_decide_by_row(spark, folder):
+    """Repeated and null ids: a row goes for its own text only, and one of equal rows stays."""
+    rng = random.Random(14)
+    a, b, c, d, item = (prose(rng, 60) for _ in range(5))
+    near = b + " tail"
+    df = spark.createDataFrame([(3, b), (5, a), (5, near), (6, c), (6, c), (7, ""), (7, None), (None, d), (None, b)], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, df, folder)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(3, b), (5, a), (6, c), (7, ""), (7, None), (None, d)], key=str)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    df = spark.createDataFrame([(None, item), (1, a), (1, a + " " + item), (None, b)], "doc_id long, text string")
+    assert sorted(map(tuple, corpus_pipeline.decontamination(spark, df, folder).collect()), key=str) == sorted([(1, a), (None, b)], key=str)
