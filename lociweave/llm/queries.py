@@ -150,3 +150,25 @@ def prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return suffix_trees.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", _removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _draw(k: int) -> str:
+    """Number k of an id's digest, in SQL."""
+    return f"cast('0x' || substr(sha256('1:' || coalesce(cast(doc_id as varchar), '')), {8 * k - 7}, 8) as bigint)"
+
+
+MIDDLE_SQL = f"""with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, {', '.join(f'{_draw(k)} as h{k}' for k in (1, 2, 3, 4))} from documents),
+  c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from d),
+  p as (select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1, n - b) as s from c)
+  select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(t) as restored_sha256 from p"""
+
+
+@query("op12_indexable_skip_list", MIDDLE_SQL)
+def indexable_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fill_middle
+
+    return fill_middle.transform(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
