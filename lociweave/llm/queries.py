@@ -172,3 +172,28 @@ def indexable_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return fill_middle.transform(table(spark, sf_dir, "documents")).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+#: crc32 of the id's digits, a bit at a time.
+_CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(c as varchar), ''), lambda x: ascii(x)::bigint)),
+  lambda e, b: list_reduce(list_concat([xor(e, b)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384::bigint))))"""
+TRIE_SQL = f"""with t as (select conv_id as c, turn, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) as k, length(coalesce(text, '')) as n
+    from conversations where conv_id is not null),
+  own as materialized (select c, list({{'k': k, 'n': n}} order by turn nulls first, k) as o, {_CRC_SQL} % 6 as h from t group by c),
+  paths as materialized (select o.c, list_concat(coalesce(b.o[1:o.h], []), o.o[o.h + 1:]) as p from own o left join own b on b.c = o.c - o.c % 100),
+  pre as (select c, d, len(p) = d as last, coalesce(array_to_string(list_transform(p[1:d], lambda x: x.k), ''), '') as key, case when d > 0 then p[d].n else 0 end as size
+    from (select c, p, unnest(range(0, len(p) + 1)) as d from paths)),
+  node as materialized (select d, key, min(c) as conv_id, count(*) as n_convs, max(size) as size, coalesce(string_agg(case when last then cast(c as varchar) end, ',' order by c), '') as ends from pre group by d, key),
+  kids as (select d - 1 as d, left(key, 64 * (d - 1)) as key, count(*) as n from node where d > 0 group by 1, 2),
+  full_node as materialized (select node.*, coalesce(kids.n, 0) as n_children from node left join kids on node.d = kids.d and node.key = kids.key),
+  below as (select a as d, left(key, 64 * a) as key, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * size)::bigint as saved_tokens
+    from (select *, unnest(range(0, d + 1)) as a from full_node) group by 1, 2)
+  select f.conv_id, f.d as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(f.ends) as ends_sha256
+  from full_node f join below b on b.d = f.d and b.key = f.key left join node p on p.d = f.d - 1 and p.key = left(f.key, 64 * (f.d - 1))"""
+
+
+@query("op11_splitter_skeleton", TRIE_SQL)
+def splitter_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import conversation_trie as method
+
+    return method.trie(method.forked(method.sequences(table(spark, sf_dir, "conversations"))))
