@@ -197,3 +197,13 @@ def splitter_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import conversation_trie as method
 
     return method.trie(method.forked(method.sequences(table(spark, sf_dir, "conversations"))))
+
+
+@query("op13_randomness_battery")
+def randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secret_scan
+
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.find(docs, secret_scan.thresholds(docs))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, secret_scan.KINDS[:3]), F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
