@@ -43,6 +43,15 @@ register("pair_blocks", "lineitem", [
     ("start_b", "l_orderkey * 3 + l_linenumber * 91 + l_partkey % 3"),
     ("end_b", "l_orderkey * 3 + l_linenumber * 91 + l_partkey % 3 + cast(l_quantity as bigint)"),
 ])
+# near-collinear blocks: one in 150 reaches over the next ones, one in 97 is shifted, one in 211 starts where its neighbour does
+register("chain_blocks", "orders", [
+    ("block_id", "o_orderkey"), ("chr_a", "concat('a', o_orderkey - o_orderkey % 3000)"), ("strand_a", "'+'"),
+    ("start_a", "(o_orderkey - case when o_custkey % 211 = 7 then 1 else 0 end) * 100"),
+    ("end_a", "(o_orderkey - case when o_custkey % 211 = 7 then 1 else 0 end) * 100 + 60 + case when o_custkey % 150 = 9 then 300 else 0 end"),
+    ("chr_b", "concat('b', o_orderkey - o_orderkey % 5000)"), ("strand_b", "case when o_orderkey % 2500 < 1250 then '+' else '-' end"),
+    ("start_b", "o_orderkey * 110 + case when o_custkey % 97 = 11 then 5000 else 0 end"),
+    ("end_b", "o_orderkey * 110 + case when o_custkey % 97 = 11 then 5000 else 0 end + 70 + o_custkey % 30"),
+])
 register("trio_pairs", "customer", [
     ("taxon", "c_mktsegment"), ("trio_id", "c_custkey"), ("ab", "90 + (c_custkey % 90) / 10.0"),
     ("ca", "80 + (c_custkey % 70) / 10.0"), ("cb", "80 + (c_custkey % 61) / 10.0"), ("identity", "78 + c_acctbal / 600.0"),
@@ -86,11 +95,11 @@ def _(spark, sf):
     return Y.joined_blocks(pair_blocks(spark, sf), 200).select("block_id", "chr_a", "joined")
 
 
-def _links_sql(s: str) -> str:
+def _links_sql(s: str, blocks: str = "pair_blocks") -> str:
     return f"""{s}0 as (select block_id, chr_{s} as chr, strand_{s} as strand, start_{s} as start, end_{s} as e,
       lag(block_id) over w as prev_id, lag(end_{s}) over w as pe, lead(start_{s}) over w as ns,
       max(end_{s}) over (partition by chr_{s}, strand_{s} order by start_{s}, block_id rows between unbounded preceding and 2 preceding) as reach
-      from pair_blocks window w as (partition by chr_{s}, strand_{s} order by start_{s}, block_id)),
+      from {blocks} window w as (partition by chr_{s}, strand_{s} order by start_{s}, block_id)),
     {s}1 as (select prev_id, block_id from {s}0 where prev_id is not null and start - pe between 0 and 2000 and (reach is null or pe > reach) and (ns is null or start < ns))"""
 
 
@@ -99,6 +108,15 @@ def _(spark, sf):
     return Y.unique_links(pair_blocks(spark, sf), 2000)
 
 
+@query("block_chains", f"""with recursive {inputs.cte('chain_blocks')}, {_links_sql('a', 'chain_blocks')}, {_links_sql('b', 'chain_blocks')},
+  links as materialized (select prev_id, block_id from a1 intersect select prev_id, block_id from b1),
+  chains as (select block_id, block_id as chain, cast(0 as bigint) as place from chain_blocks where block_id not in (select block_id from links)
+    union all select l.block_id, c.chain, c.place + 1 from chains c join links l on l.prev_id = c.block_id)
+  select * from chains""")
+def _(spark, sf):
+    return Y.block_chains(inputs.load(spark, sf, "chain_blocks"), 2000)
+
+
 # ---- genes -----------------------------------------------------------------
 
 QG = f"""{inputs.cte('query_genes', 'gene_spans', 'ref_segments')},

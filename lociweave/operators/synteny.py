@@ -71,27 +71,53 @@ def joined_blocks(blocks: DataFrame, limit: int, sides: Sequence[str] = ("a", "b
     return scan(seen, ["chr_a"], "start_a", ["block_id"], width, sums={"joined": opens}).drop("before")
 
 
+def _side_links(blocks: DataFrame, side: str, limit: int, width: int) -> DataFrame:
+    """Pairs (prev_id, block_id) linked in one sequence, in one scan.
+
+    The furthest block so far, the first in order of those that reach as far, is the predecessor
+    exactly when the predecessor reaches further than everything before it.
+    """
+    one = blocks.select("block_id", F.col(f"chr_{side}").alias("chr"), F.col(f"strand_{side}").alias("strand"),
+                        F.col(f"start_{side}").alias("start"), F.col(f"end_{side}").alias("end"))
+    far = F.struct("end", (-F.col("start")).alias("start"), (-F.col("block_id")).alias("id"))
+    w = scan(one, ["chr", "strand"], "start", ["block_id"], width, lags={"p": F.struct("block_id", "end")},
+             leads={"next_start": F.col("start")}, max_before={"far": far})
+    linked = w.where(
+        (F.col("start") - F.col("p.end")).between(0, limit) & (-F.col("far.id") == F.col("p.block_id"))
+        & (F.col("next_start").isNull() | (F.col("start") < F.col("next_start"))))
+    return linked.select(F.col("p.block_id").alias("prev_id"), "block_id")
+
+
 def unique_links(blocks: DataFrame, limit: int, sides: Sequence[str] = ("a", "b"), width: int = WIDTH) -> DataFrame:
     """Pairs (prev_id, block_id) that are each other's only nearest neighbour in every sequence.
 
     In a sequence, a block is linked to its predecessor when that one reaches further than
     everything before it, the gap is 0..limit, and no other block starts at the same place.
+    block_id is a number and unique.
     """
-    links = None
-    for s in sides:
-        one = blocks.select("block_id", F.col(f"chr_{s}").alias("chr"), F.col(f"strand_{s}").alias("strand"),
-                            F.col(f"start_{s}").alias("start"), F.col(f"end_{s}").alias("end"))
-        w = scan(one, ["chr", "strand"], "start", ["block_id"], width, lags={"p": F.struct("block_id", "end")},
-                 leads={"next_start": F.col("start")}, max_before={"reach": F.col("end")})
-        w = scan(w, ["chr", "strand"], "start", ["block_id"], width, lags={"reach_prev": F.col("reach")})
-        gap = F.col("start") - F.col("p.end")
-        linked = w.where(
-            F.col("p").isNotNull() & gap.between(0, limit)
-            & (F.col("reach_prev").isNull() | (F.col("p.end") > F.col("reach_prev")))
-            & (F.col("next_start").isNull() | (F.col("start") < F.col("next_start"))))
-        pair = linked.select(F.col("p.block_id").alias("prev_id"), "block_id")
-        links = pair if links is None else links.join(pair, ["prev_id", "block_id"], "left_semi")
-    return links
+    links = [_side_links(blocks, s, limit, width) for s in sides]
+    out = links[0]
+    for pair in links[1:]:
+        out = out.join(pair, ["prev_id", "block_id"], "left_semi")
+    return out
+
+
+def block_chains(blocks: DataFrame, limit: int, sides: Sequence[str] = ("a", "b"), width: int = WIDTH) -> DataFrame:
+    """block_id, chain (id of its first block), place (0-based in the chain): every block, alone or linked.
+
+    A link joins neighbours in the order of the first sequence, so a chain is a run of that order:
+    the number of a block and that of the last block that opens a chain are running aggregates, and
+    no chain, however long, is one task or needs rounds of joins.
+    """
+    links = unique_links(blocks, limit, sides, width).select("block_id", F.lit(True).alias("_linked"))
+    s = sides[0]
+    order = blocks.select("block_id", F.col(f"chr_{s}").alias("chr"), F.col(f"strand_{s}").alias("strand"), F.col(f"start_{s}").alias("start"))
+    marked = order.join(links, "block_id", "left")
+    keys = ["chr", "strand"]
+    numbered = scan(marked, keys, "start", ["block_id"], width, sums={"_nth": F.lit(1).cast("bigint")})
+    first = F.when(F.col("_linked").isNull(), F.struct("_nth", "block_id"))
+    ran = scan(numbered, keys, "start", ["block_id"], width, max_through={"_first": first})
+    return ran.select("block_id", F.col("_first.block_id").alias("chain"), (F.col("_nth") - F.col("_first._nth")).alias("place"))
 
 
 # ---- gene relations --------------------------------------------------------
