@@ -20,7 +20,9 @@ import base64
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,8 @@ SIZES = np.array([len(a) for a in ALPHABETS.values()])
 #: Bits that a symbol stands for; 0 where symbols aren't groups of bits.
 BITS = np.array([4, 4, 5, 0, 0, 6, 6, 6])
 _MEMBERS = [frozenset(a) for a in ALPHABETS.values()]
+_GROUPED = [_MEMBERS[0] | {"-"}, _MEMBERS[1] | {"-"}]
+_ONLY_DIGITS = frozenset(_DIGITS)
 _PLACES = np.full((len(ALPHABETS), 128), -1, np.int64)
 for _k, _a in enumerate(ALPHABETS.values()):
     _PLACES[_k, [ord(c) for c in _a]] = np.arange(len(_a))
@@ -74,15 +78,14 @@ for _k, _a in enumerate(ALPHABETS.values()):
 def inferred(token: str) -> tuple[int, str] | None:
     """Encoding and symbols to be tested: hyphens within base 16 and padding don't count, nor do short words set before or after a key."""
     core = token.rstrip("=")
-    joined = core.replace("-", "")
-    if len(joined) >= SHORTEST and (set(joined) <= _MEMBERS[0] or set(joined) <= _MEMBERS[1]):
-        core = joined
-    else:
-        longest = max(re.split("[_-]", core), key=len)
-        if len(longest) >= SHORTEST:
-            core = longest
     symbols = set(core)
-    if len(core) < SHORTEST or symbols <= set(_DIGITS):
+    if "-" in symbols or "_" in symbols:
+        if len(joined := core.replace("-", "")) >= SHORTEST and (symbols <= _GROUPED[0] or symbols <= _GROUPED[1]):
+            core = joined
+        elif len(longest := max(re.split("[_-]", core), key=len)) >= SHORTEST:
+            core = longest
+        symbols = set(core)
+    if len(core) < SHORTEST or symbols <= _ONLY_DIGITS:
         return None
     for k, members in enumerate(_MEMBERS):
         if symbols <= members:
@@ -122,15 +125,16 @@ def battery(encodings: list[int], cores: list[str]) -> np.ndarray:
     uniform = _upper_tail((np.cbrt((k * squares / n - n) / df) - (1 - spread)) / np.sqrt(spread))
 
     width = BITS[enc]
-    place = np.arange(len(sym)) - first[owner]
-    ones, all_bits = np.zeros((2, 8 * len(cores)))
+    wide = width[owner]
+    bit = ((np.arange(len(sym)) - first[owner]) * wide).astype(np.int32)  # first bit of each symbol
+    cells = (owner * 8).astype(np.int32)
+    ones = np.zeros(8 * len(cores))
     for b in range(6):
-        at = np.flatnonzero(width[owner] > b)
-        w = width[owner[at]]
-        cell = owner[at] * 8 + (place[at] * w + b) % 8
-        ones += np.bincount(cell, (sym[at] >> (w - 1 - b)) & 1, len(ones))
-        all_bits += np.bincount(cell, minlength=len(ones))
-    half = ((ones - all_bits / 2) ** 2 / np.maximum(all_bits / 4, 1)).reshape(-1, 8).sum(axis=1) / 2
+        at = slice(None) if wide.min(initial=0) > b else np.flatnonzero(wide > b)
+        set_ = np.flatnonzero((sym[at] >> (wide[at] - 1 - b)) & 1)
+        ones += np.bincount((cells[at] + ((bit[at] + b) & 7))[set_], minlength=len(ones))
+    all_bits = (n * width)[:, None] + 7 - np.arange(8) >> 3  # bits at each place of a byte
+    half = ((ones.reshape(-1, 8) - all_bits / 2) ** 2 / np.maximum(all_bits / 4, 1)).sum(axis=1) / 2
     bits = np.exp(-half) * (1 + half + half ** 2 / 2 + half ** 3 / 6)  # upper tail of chi-squared with 8 degrees of freedom
 
     high = sym >= k[owner] // 2
@@ -186,25 +190,38 @@ def decoys(text: str, base: list[Span]) -> list[str]:
     words += _WORD.findall(text, at)
     if len(words) < 4:
         return []
+    upto = list(accumulate(map(len, words)))
     seed, out = zlib.crc32(text.encode("utf-8", "replace")), []
-    for c, least in enumerate(LENGTHS):
-        most = LENGTHS[c + 1] if c + 1 < len(LENGTHS) else 2 * least
+    for c, least in enumerate(LENGTHS.tolist()):
+        most = int(LENGTHS[c + 1]) if c + 1 < len(LENGTHS) else 2 * least
         for style in range(9):
             seed = (seed * 1103515245 + 12345) & 0x7FFFFFFF
-            n = int(least + (seed >> 8) % (most - least))
+            n = least + (seed >> 8) % (most - least)
             at = (seed >> 4) % len(words)
-            some = [*words[at:at + n], *words[:max(0, at + n - len(words))]]
-            raw = " ".join(some).encode()
-            made = (
-                lambda: raw.hex(), lambda: raw.hex().upper(), lambda: base64.b32encode(raw).decode(), lambda: base64.b64encode(raw).decode(),
-                lambda: "".join(some).lower(), lambda: "".join(w.capitalize() for w in some), lambda: f"{len(some)}".join(w.upper() for w in some),
-                lambda: "/".join(w.capitalize() if k % 2 else w for k, w in enumerate(some)),
-                lambda: "".join(w if k % 3 else f"{w.capitalize()}{(seed >> k % 16) % 1000}" for k, w in enumerate(some)),
-            )[style]()
-            out.append(made[:n])
+            need = (upto[at - 1] if at else 0) + n  # words enough for n symbols, from the front again after the last
+            some = words[at:bisect_left(upto, need) + 1] if need <= upto[-1] else [*words[at:], *words[:n]]
+            out.append(_STYLES[style](some, n, seed)[:n])
     return out
 
 
+def _bytes(words: list[str], n: int) -> bytes:
+    return " ".join(words)[:n].encode()
+
+
+#: How ordinary words get into tokens: (words, symbols wanted, a number) -> at least the symbols wanted, where the words suffice.
+_STYLES = (
+    lambda w, n, k: _bytes(w, n // 2 + 1).hex(),
+    lambda w, n, k: _bytes(w, n // 2 + 1).hex().upper(),
+    lambda w, n, k: base64.b32encode(_bytes(w, (n // 8 + 1) * 5)).decode(),
+    lambda w, n, k: base64.b64encode(_bytes(w, (n // 4 + 1) * 3)).decode(),
+    lambda w, n, k: "".join(w).lower(),
+    lambda w, n, k: "".join(map(str.capitalize, w)),
+    lambda w, n, k: str(10 + (k >> 9) % 90).join(w).upper(),
+    lambda w, n, k: "/".join(x.capitalize() if i % 2 else x for i, x in enumerate(w)),
+    lambda w, n, k: "".join(x if i % 3 else f"{x.capitalize()}{(k >> i % 16) % 1000}" for i, x in enumerate(w)),
+)
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """(decoy, stratum, energy, n) over all documents; a task adds up its own first."""
     shape = (2, len(ALPHABETS) * len(LENGTHS), LAST + 1)
