@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coords import interval_predicates, interval_relation, to_plus
 from ..operators import blocks as K
+from ..operators import coding
 from ..operators import intervals as I
 from ..operators import normalise as N
 from ..operators import sites as T
@@ -134,7 +135,7 @@ SPLIT = f"""{ALL_SITES}, {inputs.cte('features')}, {MERGED},
 
 
 def _split(spark, sf):
-    return I.coding_split(T.counted_sites(aln3(spark, sf)), features(spark, sf))
+    return coding.coding_split_of_blocks(aln3(spark, sf), features(spark, sf))
 
 
 @query("coding_split", f"{SPLIT} select * from split")
