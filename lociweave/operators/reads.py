@@ -8,8 +8,10 @@ scan along the read, so one very deep read id does not become one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import splice as P
@@ -205,32 +207,109 @@ def alternative_support(introns: DataFrame, junctions_: DataFrame, reads: DataFr
 
 # ---- clusters --------------------------------------------------------------
 
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """((chr, bucket), rows) of sorted batches, a bucket at a time."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = list(zip(batch.column("chr").to_pylist(), batch.column("_bkt").to_pylist()))
+        at = 0
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i] != keys[at]:
+                if keys[at] != current and held:
+                    yield current, pa.Table.from_batches(held)
+                    held = []
+                current = keys[at]
+                held.append(batch.slice(at, i - at))
+                at = i
+    if held:
+        yield current, pa.Table.from_batches(held)
+
+
+def next_anchors(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each position taken as an anchor, the index of the next one: the first position at or after its end. len(left) where there is none."""
+    return np.maximum(np.searchsorted(left, right, side="left"), np.arange(1, len(left) + 1))
+
+
+def last_anchors(following: np.ndarray) -> np.ndarray:
+    """The last anchor that each position leads to, by squaring the step."""
+    here = np.arange(len(following))
+    to = np.where(following < len(following), following, here)
+    while True:
+        further = to[to]
+        if (further == to).all():
+            return to
+        to = further
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bucket the map from where it is entered to the anchor it is left with, as runs: (last position of the run, end and key of that anchor)."""
+    for (chr_, bkt), rows in _by_bucket(batches):
+        left, right = (rows.column(c).to_numpy() for c in ("left", "right"))
+        keys, to = rows.column("key").to_pylist(), last_anchors(next_anchors(left, right))
+        ends = np.flatnonzero(np.append(to[1:] != to[:-1], True))
+        step = 1 << 16
+        for k in range(0, len(ends), step):
+            e = ends[k:k + step]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chr_] * len(e), pa.string()), pa.array([bkt] * len(e), pa.int64()), pa.array(left[e]), pa.array(right[to[e]]), pa.array([keys[i] for i in to[e]], pa.string())],
+                ["chr", "_bkt", "upto", "reach", "name"])
+
+
+def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchor that is open when a bucket begins: runs of all buckets of a chromosome, read in order, a bucket's last."""
+    out, chr_, reach, name, bkt = [], None, None, None, None
+    left_with = None
+    for batch in batches:
+        for c, b, upto, r, n in zip(*(batch.column(x).to_pylist() for x in ("chr", "_bkt", "upto", "reach", "name"))):
+            if (c, b) != (chr_, bkt):
+                if c != chr_:
+                    reach = name = None
+                elif left_with is not None:
+                    reach, name = left_with
+                chr_, bkt, left_with = c, b, None
+                out.append((c, b, reach, name))
+            if left_with is None and (reach is None or upto >= reach):
+                left_with = (r, n)
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], ["chr", "_bkt", "reach", "name"])
+
+
+def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every position's anchor, from the one that is open when its bucket begins."""
+    for (chr_, _), rows in _by_bucket(batches):
+        left, right = (rows.column(c).to_numpy() for c in ("left", "right"))
+        keys, reach, name = rows.column("key").to_pylist(), rows.column("reach")[0].as_py(), rows.column("name")[0].as_py()
+        following = next_anchors(left, right)
+        anchors, at = [], 0 if reach is None else int(np.searchsorted(left, reach))
+        while at < len(left):
+            anchors.append(at)
+            at = int(following[at])
+        names = [name, *(keys[i] for i in anchors)]
+        clusters = [names[k] for k in np.searchsorted(anchors, np.arange(len(left)), side="right")]
+        yield pa.RecordBatch.from_arrays([pa.array([chr_] * len(left), pa.string()), pa.array(left), pa.array(clusters, pa.string())], ["chr", "left", "cluster"])
+
+
 def anchor_clusters(introns: DataFrame, chr_: str = "chr", width: int | None = None) -> DataFrame:
     """Clusters of introns that start before the end of the cluster's first intron.
 
-    introns: chr, left, right, key. The first member only depends on the distinct left
-    positions, so introns are reduced to (chr, left, right of the first), cut into overlap
-    islands (which no cluster spans) and each island's distinct positions are swept in order.
+    introns: chr, left, right, key. The first member only depends on the distinct left positions, so introns are
+    reduced to (chr, left, right of the first). Each position, taken as an anchor, names the next one; inside a bucket of `width`
+    positions these steps are composed into one map from where the bucket is entered to the anchor it is left with, kept as runs.
+    Their number is that of the anchors that reach over the bucket's end. The maps are chained along the chromosome, and each bucket is
+    swept from the anchor that is open at its start: a chromosome that is one island is as many tasks as it has buckets.
     Returns every member of clusters with more than one intron: cluster, key.
     """
-    from .intervals import islands
     from .scans import WIDTH
 
     heads = introns.groupBy(chr_, "left").agg(F.min(F.struct("right", "key")).alias("h"))
-    spans = introns.select(F.col(chr_).alias("chr"), F.col("left").alias("start"), F.col("right").alias("end"))
-    isl = islands(spans, touching=False, width=width or WIDTH).select(F.col("chr"), F.col("start").alias("left"), "island")
-    points = heads.select(F.col(chr_).alias("chr"), "left", F.col("h.right").alias("right"), F.col("h.key").alias("key")).join(isl, ["chr", "left"])
-
-    def sweep(pdf):
-        pdf = pdf.sort_values("left")
-        anchors, reach, name = [], None, None
-        for left, right, key in zip(pdf["left"], pdf["right"], pdf["key"]):
-            if reach is None or left >= reach:
-                reach, name = right, key
-            anchors.append(name)
-        return pdf.assign(cluster=anchors)[["chr", "left", "cluster"]]
-
-    swept = points.groupBy("chr", "island").applyInPandas(sweep, "chr string, left bigint, cluster string")
+    points = heads.select(F.col(chr_).alias("chr"), F.floor(F.col("left") / (width or WIDTH)).alias("_bkt"), F.col("left").cast("long").alias("left"),
+                          F.col("h.right").cast("long").alias("right"), F.col("h.key").alias("key")).repartition("chr", "_bkt")
+    runs = points.sortWithinPartitions("chr", "_bkt", "left").mapInArrow(_summaries, "chr string, _bkt long, upto long, reach long, name string")
+    opened = runs.repartition("chr").sortWithinPartitions("chr", "_bkt", "upto").mapInArrow(_carried, "chr string, _bkt long, reach long, name string")
+    swept = (points.join(opened, ["chr", "_bkt"]).sortWithinPartitions("chr", "_bkt", "left")
+             .mapInArrow(_swept, "chr string, left long, cluster string"))
     members = introns.withColumnRenamed(chr_, "chr").join(swept, ["chr", "left"]).select("cluster", "key")
     big = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cluster")
     return members.join(big, "cluster", "left_semi")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,46 @@ def test_anchor_clusters(spark, width):
     assert sorted(tuple(r) for r in R.anchor_clusters(df, width=width).collect()) == sorted(want)
 
 
+def test_anchor_clusters_of_one_island(spark):
+    """Everything overlaps: one island over many buckets, with introns that reach over whole buckets."""
+    rng = random.Random(10)
+    heads = sorted({rng.randrange(20000) for _ in range(1500)})
+    rows = [("c", s, s + rng.choice([1, 3, 30, 30, 700, 5000]), f"k{s:05}") for s in heads] + [("c", 0, 25000, "z0")] * (0 not in heads)
+    rows.append(("d", 5, 9, "d0"))
+    rows[1] = ("c", rows[1][1], 30000, rows[1][3])
+    want, reach, name = {}, None, None
+    for c, left, right, key in sorted(rows):
+        if c == "d":
+            continue
+        if reach is None or left >= reach:
+            reach, name = right, key
+        want.setdefault(name, []).append(key)
+    want = sorted((n, k) for n, ks in want.items() if len(ks) > 1 for k in ks)
+    df = spark.createDataFrame([r for r in rows if r[3] != "z0"], "chr string, left long, right long, key string").repartition(5)
+    lone, reach, name = {}, None, None
+    for c, left, right, key in sorted(r for r in rows if r[3] != "z0" and r[0] == "c"):
+        if reach is None or left >= reach:
+            reach, name = right, key
+        lone.setdefault(name, []).append(key)
+    lone = sorted((n, k) for n, ks in lone.items() if len(ks) > 1 for k in ks)
+    for width in (37, 1000, None):
+        assert sorted(map(tuple, R.anchor_clusters(df, width=width).collect())) == lone
+    assert sorted(map(tuple, R.anchor_clusters(spark.createDataFrame(rows, df.schema), width=500).collect())) == want
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_last_anchors(seed):
+    rng = random.Random(seed)
+    left = np.array(sorted({rng.randrange(200) for _ in range(60)}))
+    right = left + np.array([rng.choice([0, 1, 5, 50, 500]) for _ in left])
+    following = R.next_anchors(left, right)
+    for i, last in enumerate(R.last_anchors(following)):
+        at = i
+        while (nxt := next((j for j in range(at + 1, len(left)) if left[j] >= right[at]), None)) is not None:
+            at = nxt
+        assert last == at
+
+
 def test_runs(spark):
     rows = [read(1, "q/1", "GT", None, "c1", 10, 20, 0, 10, "+", 40), read(2, "q/1", None, "AG", "c1", 50, 60, 10, 20, "+", 40),
             read(3, "q/1", None, None, "c1", 80, 90, 25, 35, "+", 40), read(4, "q/1", None, None, "c2", 5, 9, 35, 39, "+", 40)]
