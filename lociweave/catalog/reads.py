@@ -274,7 +274,7 @@ def _(spark, sf):
 def _(spark, sf):
     r = reads(spark, sf)
     j = R.junctions(r)
-    return R.alternative_support(R.intron_table(j), j, r, bin_size=64)
+    return R.alternative_support(R.intron_table(j), j, r)
 
 
 # ---- clusters --------------------------------------------------------------

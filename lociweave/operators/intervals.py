@@ -108,31 +108,32 @@ def overlap_outer(a: DataFrame, b: DataFrame, a_key: Sequence[str], prefix: str
     return pairs.unionByName(lonely, allowMissingColumns=True)
 
 
-def overlap_count(a: DataFrame, b: DataFrame, name: str = "count", width: int = WIDTH) -> DataFrame:
-    """Number of b intervals overlapping each a interval, zero kept.
+def overlap_count(a: DataFrame, b: DataFrame, name: str = "count", width: int = WIDTH, keys: Sequence[str] = ("chr",)) -> DataFrame:
+    """Number of b intervals overlapping each a interval with the same keys, zero kept.
 
     Count = (starts of b before a's end) - (ends of b at or before a's start): one
     ordered scan over boundaries, so a pile-up makes no pairs.
     """
-    queries = a.select("chr", "start", "end").distinct()
+    keys = list(keys)
+    queries = a.select(*keys, "start", "end").distinct()
     mark = lambda df, pos, kind, s, e, ref: df.select(
-        "chr", F.col(pos).alias("pos"), F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), ref.alias("other"))
+        *keys, F.col(pos).alias("pos"), F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), ref.alias("other"))
     zero, none = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-    starts = b.groupBy("chr", "start").count()
-    ends = b.groupBy("chr", "end").count()
+    starts = b.groupBy(*keys, "start").count()
+    ends = b.groupBy(*keys, "end").count()
     events = (
         mark(queries, "end", 0, zero, zero, F.col("start"))
         .unionByName(mark(starts, "start", 1, F.col("count"), zero, none))
         .unionByName(mark(ends, "end", 2, zero, F.col("count"), none))
         .unionByName(mark(queries, "start", 3, zero, zero, F.col("end")))
     )
-    ran = scan(events, ["chr"], "pos", ["kind", "other"], width, sums={"begun": F.col("s"), "ended": F.col("e")})
+    ran = scan(events, keys, "pos", ["kind", "other"], width, sums={"begun": F.col("s"), "ended": F.col("e")})
     at_end, at_start = F.col("kind") == 0, F.col("kind") == 3
     counts = ran.where(at_end | at_start).groupBy(
-        "chr", F.when(at_end, F.col("other")).otherwise(F.col("pos")).alias("start"),
+        *keys, F.when(at_end, F.col("other")).otherwise(F.col("pos")).alias("start"),
         F.when(at_end, F.col("pos")).otherwise(F.col("other")).alias("end"),
     ).agg(F.sum(F.when(at_end, F.col("begun")).otherwise(-F.col("ended"))).alias(name))
-    return a.join(counts, ["chr", "start", "end"]).select(*a.columns, name)
+    return a.join(counts, [*keys, "start", "end"]).select(*a.columns, name)
 
 
 # ---- coding / non-coding ---------------------------------------------------

@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import splice as P
 from ..functions.coords import to_plus
+from ..session import cut_lineage
+from . import counting
 from .intervals import BIN, overlap_join
-from .scans import scan
+from .scans import WIDTH, scan
 
 READ_BUCKET = 1 << 16
 
@@ -185,23 +187,43 @@ def first_repeat_class(junctions_: DataFrame, repeats: DataFrame, id_: str = "fe
                        F.when(same, F.lit("tandem_expansion")).otherwise(F.lit("repeat_pair")).alias("class"))
 
 
-def alternative_support(introns: DataFrame, junctions_: DataFrame, reads: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """Per linear intron: reads spliced elsewhere whose parts lie over it, and unspliced reads over each end."""
-    spans = introns.where("not trans").select(
-        F.col("key").alias("key"), F.col("start.chr").alias("chr"),
-        F.least("start.pos", "end.pos").alias("start"), F.greatest("start.pos", "end.pos").alias("end"),
-        F.col("start.pos").alias("don_pos"), F.col("end.pos").alias("acc_pos")).where("start < end")
+def alternative_support(introns: DataFrame, junctions_: DataFrame, reads: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Per linear intron: reads spliced elsewhere whose parts lie over it, and unspliced reads over each end.
+
+    All four are counts by subtraction (see `counting`), so deep coverage makes no intron x read rows. What an intron's own
+    junctions contribute is taken off afterwards: they are joined on the intron's key, so on rows in proportion to the junctions.
+    """
+    linear = cut_lineage(introns.where("not trans").select(
+        "key", "reads", F.col("start.chr").alias("chr"), F.least("start.pos", "end.pos").alias("start"), F.greatest("start.pos", "end.pos").alias("end"),
+        F.col("start.pos").alias("don_pos"), F.col("end.pos").alias("acc_pos")))
+    spans = linear.where("start < end").drop("reads")
     aln = reads.select("aln_id", "r_id", F.col("g_chr").alias("chr"), F.col("g_start").alias("start"), F.col("g_end").alias("end"))
     single = read_facts(reads).where("alignments = 1").select("r_id")
-    plain = overlap_join(spans, aln.join(single, "r_id", "left_semi"), "b_", bin_size)
-    covers = lambda pos: F.when((F.col("b_start") < F.col(pos)) & (F.col(pos) < F.col("b_end")), F.col("b_r_id"))
-    side = plain.groupBy("key").agg(F.count_distinct(covers("don_pos")).alias("don_side_reads"),
-                                    F.count_distinct(covers("acc_pos")).alias("acc_side_reads"))
-    parts = junctions_.select(F.col("key").alias("other"), "r_id", F.explode(F.array("aln1_id", "aln2_id")).alias("aln_id"))
-    over = overlap_join(spans, aln.drop("r_id").join(parts, "aln_id"), "b_", bin_size).where("b_other <> key")
-    other = over.groupBy("key").agg(F.count_distinct("b_other").alias("other_introns"),
-                                    F.count_distinct("b_r_id").alias("other_reads"))
-    return (introns.where("not trans").select("key", "reads").join(other, "key", "left").join(side, "key", "left")
+    plain = aln.join(single, "r_id", "left_semi")
+    ends = spans.select("chr", F.explode(F.array("don_pos", "acc_pos")).alias("pos"))
+    over_end = counting.count_covering(ends, plain, "n", width)
+
+    parts = cut_lineage(junctions_.select(F.col("key").alias("other"), "r_id", F.explode(F.array("aln1_id", "aln2_id")).alias("aln_id"))
+                        .join(aln.drop("r_id"), "aln_id").select("other", "r_id", "chr", "start", "end"))
+    met_introns = counting.count_owners(spans, parts, "other", "_introns", width)
+    met_reads = counting.count_owners(spans, parts, "r_id", "_reads", width)
+
+    # an intron's own parts over itself, by read
+    own_span = spans.select(F.col("key").alias("other"), F.col("chr").alias("_chr"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    own = (parts.join(own_span, "other").where("chr = _chr and start < _e and _s < end")
+           .groupBy("other", "r_id", "chr", F.col("_s").alias("start"), F.col("_e").alias("end")).agg(F.count(F.lit(1)).alias("own")))
+    of_read = counting.count_rows(own, parts, ["r_id", "chr"], "all", width)
+    only_own = own.join(of_read, ["r_id", "chr", "start", "end"])
+    off = only_own.groupBy(F.col("other").alias("key")).agg(F.count_if(F.col("own") == F.col("all")).alias("_off_reads"))
+
+    side = lambda pos, name: over_end.select("chr", F.col("pos").alias(pos), F.col("n").alias(name))
+    counted = (
+        spans.join(met_introns, ["chr", "start", "end"]).join(met_reads, ["chr", "start", "end"]).join(off, "key", "left")
+        .join(side("don_pos", "don_side_reads"), ["chr", "don_pos"]).join(side("acc_pos", "acc_side_reads"), ["chr", "acc_pos"])
+        .select("key", (F.col("_introns") - F.col("_off_reads").isNotNull().cast("bigint")).alias("other_introns"),
+                (F.col("_reads") - F.coalesce("_off_reads", F.lit(0))).alias("other_reads"), "don_side_reads", "acc_side_reads"))
+    counted = counted.dropDuplicates(["key"])
+    return (linear.select("key", "reads").join(counted, "key", "left")
             .na.fill(0, ["other_introns", "other_reads", "don_side_reads", "acc_side_reads"]))
 
 
@@ -301,8 +323,6 @@ def anchor_clusters(introns: DataFrame, chr_: str = "chr", width: int | None = N
     swept from the anchor that is open at its start: a chromosome that is one island is as many tasks as it has buckets.
     Returns every member of clusters with more than one intron: cluster, key.
     """
-    from .scans import WIDTH
-
     heads = introns.groupBy(chr_, "left").agg(F.min(F.struct("right", "key")).alias("h"))
     points = heads.select(F.col(chr_).alias("chr"), F.floor(F.col("left") / (width or WIDTH)).alias("_bkt"), F.col("left").cast("long").alias("left"),
                           F.col("h.right").cast("long").alias("right"), F.col("h.key").alias("key")).repartition("chr", "_bkt")
