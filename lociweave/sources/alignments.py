@@ -1,11 +1,13 @@
 """Alignment text files. Files are split at the lines that begin a block, whatever their line ends, so a large MAF is
-read by many tasks; compressed files are opened by their extension. Each reader is a parser of text rows and a read."""
+read by many tasks; compressed files are opened by their extension. Each reader is a parser of text rows and a read.
+Blocks are numbered by file and place (see `splits`)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .features import after_equals
+from .splits import place_ids, split_lines
 
 SIDES = "abcdefgh"
 PSL_SCHEMA = (
@@ -16,17 +18,22 @@ PSL_SCHEMA = (
 
 
 def maf_parts(spark: SparkSession, path) -> DataFrame:
-    """`value` rows of whole blocks. The mark that ends a row is the next block's `a` at the start of a line, which is put back."""
-    raw = spark.read.option("lineSep", "\na").text(path)
-    return raw.select(F.when(F.col("value").rlike(r"^([ \t\r\n]|$)"), F.concat(F.lit("a"), F.col("value"))).otherwise(F.col("value")).alias("value"))
+    """`value` rows of whole blocks, with file and split. The mark that ends a row is the next block's `a` at the start of a line, which is put back."""
+    raw = split_lines(spark, path, "\na")
+    return raw.select("file", "at", F.when(F.col("value").rlike(r"^([ \t\r\n]|$)"), F.concat(F.lit("a"), F.col("value"))).otherwise(F.col("value")).alias("value"))
 
 
 def _blocks(parts: DataFrame) -> DataFrame:
-    """One row per block: block_id, lines (comments dropped). Lines of white space also end a block; a row may hold several."""
-    parts = parts.select(F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("t"))
+    """One row per block: block_id, lines (comments dropped). Lines of white space also end a block; a row may hold several.
+
+    Rows from files (file, at) are numbered by their place. Rows made otherwise get the digest of their lines, so equal blocks have one number.
+    """
+    placed = {"file", "at"} <= set(parts.columns)
+    extra = ["file", "at"] if placed else []
+    each = parts.select(*extra, F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("t"))
     lines = F.filter(F.split("t", "\n"), lambda l: ~l.startswith("#") & (F.length(F.trim(l)) > 0))
-    return parts.select(lines.alias("lines")).where(F.exists("lines", lambda l: l.rlike(r"^s\s"))).select(
-        F.monotonically_increasing_id().alias("block_id"), "lines")
+    found = each.select(*extra, lines.alias("lines")).where(F.exists("lines", lambda l: l.rlike(r"^s\s")))
+    return place_ids(found, parts.inputFiles()) if placed else found.select(F.xxhash64("lines").alias("block_id"), "lines")
 
 
 def _fields(kind: str) -> Column:
