@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import spectra, sites, intervals, reads, synteny, files  # noqa: F401
+from . import spectra, sites, intervals, reads, synteny, files, stored  # noqa: F401
 from .base import CHECKS, QUERIES, Query
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,12 +32,8 @@ def build_session(app: str = "lociweave", master: str | None = None, shuffle_par
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
-
-    A folder of our own is set only where the session has none (tests, laptops).
-    """
-    spark = df.sparkSession
+def _shared(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names in spark.checkpoint.dir; one of our own only where the session has none (tests, laptops)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,4 +42,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name for one run, inside the folder that driver and executors share."""
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir."""
+    _shared(df.sparkSession)
     return df.checkpoint(eager=True)
