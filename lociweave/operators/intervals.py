@@ -1,8 +1,8 @@
 """Interval operators on (chr, start, end), 0-based half open.
 
-Overlap joins are equi joins on (chr, bin): each interval is listed in every bin it
-touches and a pair is kept only in the first bin both share. Hot bins are left to
-AQE's skew split, or salted with `salt_above`.
+Overlap joins are equi joins on (chr, level, bin): bins of a level are eight times as wide as those of the level
+below, an interval lives at the lowest level where it touches MOST bins or fewer, and a pair meets at the
+higher of its two levels, in the first bin both share. Hot bins are left to AQE's skew split, or salted with `salt_above`.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .scans import WIDTH, positions, scan
 
 BIN = 1 << 14
+#: Bins that an interval is listed in at most, width of a level's bins over those below, number of levels.
+MOST, WIDER, LEVELS = 4, 8, 10
 
 
 # ---- merging ---------------------------------------------------------------
@@ -70,18 +72,45 @@ def _salted(left: DataFrame, right: DataFrame, on: list[str], salt_above: int) -
     return l, r
 
 
+def _level(bin_size: int, first: Column, last: Column) -> Column:
+    """The lowest level where the interval touches MOST bins or fewer."""
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        width = bin_size * WIDER ** k
+        level = F.when(F.floor(last / width) - F.floor(first / width) < MOST, F.lit(k)).otherwise(level)
+    return level
+
+
+def _listed(df: DataFrame, bin_size: int, start: str, end: str, closed: bool, levels: DataFrame | None) -> DataFrame:
+    """Rows per level and bin: _own (the interval's level), _lvl, _bin0 (its first bin there), _bin. `levels`: those of the other side; without it, all above are taken."""
+    last = F.col(end) if closed else F.greatest(F.col(end) - 1, F.col(start))
+    placed = df.withColumns({"_last": last, "_own": _level(bin_size, F.col(start), last)})
+    if levels is None:
+        at = placed.withColumn("_lvl", F.explode(F.sequence(F.col("_own"), F.lit(LEVELS - 1))))
+    else:  # at most LEVELS rows with one array
+        others = levels.agg(F.collect_set("_own").alias("_all"))
+        at = placed.join(F.broadcast(others)).withColumn("_lvl", F.explode(F.array_union(
+            F.array("_own"), F.filter("_all", lambda k: k > F.col("_own"))))).drop("_all")
+    width = (F.lit(bin_size) * F.pow(F.lit(WIDER), F.col("_lvl"))).cast("bigint")
+    lo, hi = F.floor(F.col(start) / width), F.floor(F.col("_last") / width)
+    return at.withColumns({"_bin0": lo, "_bin": F.explode(F.sequence(lo, hi))}).drop("_last")
+
+
 def overlap_join(a: DataFrame, b: DataFrame, prefix: str = "b_", bin_size: int = BIN, salt_above: int | None = None,
                  condition: Column | None = None, closed: bool = False) -> DataFrame:
     """All pairs sharing at least one base; columns of a, then those of b with `prefix`.
 
     `condition` replaces the overlap test (on a's columns and prefixed b's); with
-    `closed`, intervals that only touch end-to-start are candidates too.
+    `closed`, intervals that only touch end-to-start are candidates too. b is the smaller side: it is read once more to
+    see which levels it has, and listed at all levels above its own; a is listed at its own level and at those of b. A long
+    interval has MOST bins, each at most half empty of it, so candidates stay in proportion to the pairs.
     """
     right = b.select([F.col(c).alias(prefix + c) for c in b.columns])
-    l = with_bins(a, bin_size, closed=closed)
-    r = with_bins(right, bin_size, prefix + "start", prefix + "end", closed).withColumnsRenamed(
-        {"_bin0": "_rbin0", "_bin": "_rbin"})
-    on_l, on_r = ["chr", "_bin"], [prefix + "chr", "_rbin"]
+    r = _listed(right, bin_size, prefix + "start", prefix + "end", closed, None)
+    ends = right.select(F.col(prefix + "start").alias("s"), (F.col(prefix + "end") if closed else F.greatest(F.col(prefix + "end") - 1, F.col(prefix + "start"))).alias("e"))
+    l = _listed(a, bin_size, "start", "end", closed, ends.select(_level(bin_size, F.col("s"), F.col("e")).alias("_own")).distinct())
+    r = r.withColumnsRenamed({"_bin0": "_rbin0", "_bin": "_rbin", "_own": "_rown", "_lvl": "_rlvl"})
+    on_l, on_r = ["chr", "_lvl", "_bin"], [prefix + "chr", "_rlvl", "_rbin"]
     if salt_above:
         l, r2 = _salted(l, r.withColumnsRenamed(dict(zip(on_r, on_l))), on_l, salt_above)
         r = r2.withColumnsRenamed({**dict(zip(on_l, on_r)), "_salt": "_rsalt"})
@@ -91,8 +120,8 @@ def overlap_join(a: DataFrame, b: DataFrame, prefix: str = "b_", bin_size: int =
         match = match & (l[x] == r[y])
     if condition is None:
         condition = (F.col("start") < F.col(prefix + "end")) & (F.col(prefix + "start") < F.col("end"))
-    pairs = l.join(r, match & (F.col("_bin") == F.greatest("_bin0", "_rbin0")) & condition)
-    return pairs.select(*a.columns, *right.columns)
+    met = (F.col("_lvl") == F.greatest("_own", "_rown")) & (F.col("_bin") == F.greatest("_bin0", "_rbin0"))
+    return l.join(r, match & met & condition).select(*a.columns, *right.columns)
 
 
 def overlap_clip(a: DataFrame, b: DataFrame, prefix: str = "b_", bin_size: int = BIN) -> DataFrame:

@@ -102,3 +102,30 @@ def test_unstable_inputs_are_errors(spark):
     sites = frame(spark, [("c", 5, 7, 0)])
     with pytest.raises(Exception, match="single-base"):
         I.mark_coding(sites, frame(spark, [("c", 1, 9, 0)])).collect()
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_overlap_join_of_very_different_lengths(spark, closed):
+    rng = random.Random(21)
+    def rows(n):  # noqa: E301
+        return [("c" + str(rng.randrange(2)), s := rng.randrange(10 ** 6), s + rng.choice([0, 1, 30, 3000, 70000, 900000]), i) for i in range(n)]
+    a, b = rows(120), rows(90)
+    hit = lambda x, y: x[0] == y[0] and (x[1] < y[2] and y[1] < x[2])
+    touch = F.col("start").between(F.col("b_start"), F.col("b_end")) if closed else None
+    want = sorted((x[3], y[3]) for x in a for y in b if (x[0] == y[0] and y[1] <= x[1] <= y[2] if closed else hit(x, y)))
+    for bin_size in (1, 64, 1 << 14):
+        got = I.overlap_join(frame(spark, a), frame(spark, b), bin_size=bin_size, condition=touch, closed=closed)
+        assert sorted((r["id"], r["b_id"]) for r in got.collect()) == want
+
+
+def test_an_interval_over_everything_is_listed_a_few_times(spark):
+    """Listings grow with the rows and the levels, not with a long interval's length."""
+    n = 400
+    a = [("c", 1000 * i, 1000 * i + 10, i) for i in range(n)]
+    b = [("c", 0, 10 ** 9, 0), ("c", 5000, 5010, 1)]
+    right = frame(spark, b)
+    listed = I._listed(right, 16, "start", "end", False, None)
+    assert listed.count() <= 2 * (I.LEVELS + I.MOST * 2)
+    own = right.select(I._level(16, F.col("start"), F.col("end") - 1).alias("_own")).distinct()
+    assert I._listed(frame(spark, a), 16, "start", "end", False, own).count() <= 3 * I.MOST * n
+    assert I.overlap_join(frame(spark, a), right, bin_size=16).count() == n + 1
