@@ -15,7 +15,7 @@ from . import inputs
 from .base import query, rnd, rounded
 from .inputs import ALPHABET, SEQ_A, SEQ_B, SEQ_C, register
 from .sites import ALL_SITES, KEYS, OBS, log2_sql
-from .spectra import DIM, SPECTRUM, WIN3, aln3
+from .spectra import DI_SPECTRUM, DIM, OK3, SPECTRUM, WIN3, aln3
 
 # features on the outgroup genome, many per block, some touching or nested
 register("features", "lineitem", [
@@ -230,6 +230,25 @@ def _(spark, sf):
         "block_id", "seq_a", "seq_b", "seq_c", "start_a", "start_b")
 
 
+# the main entry: both spectra of both variants; a variant and its trio are one key here
+_BOTH = f"""{CUT},
+  every as materialized (select 'all' as variant, block_id * 100000 as block_id, i, upper(a) as a, upper(b) as b, upper(c) as c from cols
+    union all select 'ncds', block_id * 100000 + g, i, upper(a), upper(b), upper(c) from kept),
+  wide as materialized (select variant || '|' || t.lang as trio, q.* from (select variant, block_id, a || lead(a, 1) over w || lead(a, 2) over w as a3, b || lead(b, 1) over w || lead(b, 2) over w as b3,
+    c || lead(c, 1) over w || lead(c, 2) over w as c3, lead(a, 3) over w as a4, lead(b, 3) over w as b4, lead(c, 3) over w as c4
+    from every window w as (partition by variant, block_id order by i)) q join documents t on t.doc_id = q.block_id // 100000),
+  okwin as (select * from (select trio, a3 as wa, b3 as wb, c3 as wc from wide where c3 is not null) where {OK3}),
+  win4 as (select trio, a3 || a4 as wa, b3 || b4 as wb, c3 || c4 as wc from wide where c4 is not null),
+  {DIM.replace('select distinct trio from aln3', "select distinct v || '|' || trio as trio from aln3, (values ('all'), ('ncds')) t(v)")}, {SPECTRUM}, {DI_SPECTRUM},
+  listed as (select *, 'tri' as kind from (select trio, species, "mutType", "mutNum", "totalRootNum" from spectrum) union all select *, 'di' from doublets)"""
+
+
+@query("trio_spectra", f"""{_BOTH} select split_part(trio, '|', 2) as trio, split_part(trio, '|', 1) as variant, kind, species, "mutType", "mutNum", "totalRootNum" from listed""")
+def _(spark, sf):
+    from ..plans.trio import trio_spectra
+    return trio_spectra(aln3(spark, sf), ["trio"], features(spark, sf))
+
+
 @query("tri_spectrum_noncoding", f"""{CUT},
   pc as (select block_id * 100000 + g as block_id, 'all' as trio, generate_subscripts(string_split(seq_a, ''), 1) as i,
     unnest(string_split(upper(seq_a), '')) as a, unnest(string_split(upper(seq_b), '')) as b, unnest(string_split(upper(seq_c), '')) as c from piece),

@@ -9,6 +9,7 @@ from ..functions import splice as P
 from ..operators import normalise as N
 from ..operators import pairs as A
 from ..operators import reads as R
+from ..session import cut_lineage
 from . import inputs
 from .base import query, rnd, rounded
 from .inputs import register
@@ -285,19 +286,62 @@ def _positions(spark, sf):
                     F.least("start.pos", "end.pos").alias("left"), F.greatest("start.pos", "end.pos").alias("right"))
 
 
-@query("anchor_clusters", f"""with recursive {INTRONS[5:]},
+ANCHORED = f"""with recursive {INTRONS[5:]},
   pos as materialized (select key, sc as chr, least(sp, ep) as l, greatest(sp, ep) as r from introns where not trans),
   heads as materialized (select chr, l, arg_min(r, row(r, key)) as r, arg_min(key, row(r, key)) as key from pos group by 1, 2),
   sweep(chr, l, reach, name) as (
     select chr, min(l), arg_min(r, l), arg_min(key, l) from heads group by 1
     union all select h.chr, min(h.l), arg_min(h.r, h.l), arg_min(h.key, h.l) from sweep s join heads h on h.chr = s.chr and h.l >= s.reach group by h.chr),
   spans as (select *, lead(l) over (partition by chr order by l) as nxt from sweep),
-  members as (select s.name as cluster, p.key from spans s join pos p on p.chr = s.chr and p.l >= s.l and (s.nxt is null or p.l < s.nxt))
-  select cluster, key from members where cluster in (select cluster from members group by 1 having count(*) > 1)""")
+  members as materialized (select s.name as cluster, p.key from spans s join pos p on p.chr = s.chr and p.l >= s.l and (s.nxt is null or p.l < s.nxt))"""
+
+
+@query("anchor_clusters", f"{ANCHORED} select cluster, key from members where cluster in (select cluster from members group by 1 having count(*) > 1)")
 def _(spark, sf):
     return R.anchor_clusters(_positions(spark, sf))
 
 
+# the predicates on the clusters of introns that the sweep gives
+AM = f"""{ANCHORED}, am as materialized (select m.cluster, m.key, i.reads, i.ss as strand, i.sc || '_' || i.sp || '_' || i.ss as s, i.ec || '_' || i.ep || '_' || i.es as e
+  from members m join introns i using (key) where m.cluster in (select cluster from members group by 1 having count(*) > 1))"""
+
+
+def _anchored(spark, sf):
+    positions = cut_lineage(_positions(spark, sf))  # read by the sweep and by the join with it
+    return R.anchor_clusters(positions).join(positions.select("key", "reads", "strand", "start", "end"), "key")
+
+
+@query("anchored_on_both_strands", f"{AM} select cluster from am group by 1 having count(distinct strand) = 2")
+def _(spark, sf):
+    return R.clusters_on_both_strands(_anchored(spark, sf))
+
+
+@query("anchored_well_supported", f"{AM} select cluster from am group by 1 having min(reads) >= 2")
+def _(spark, sf):
+    return R.clusters_well_supported(_anchored(spark, sf), 2)
+
+
+@query("anchored_with_unshared_intron", f"""{AM} select distinct m.cluster from am m where not exists (
+  select 1 from am o where o.cluster = m.cluster and o.key <> m.key and (m.s in (o.s, o.e) or m.e in (o.s, o.e)))""")
+def _(spark, sf):
+    return R.clusters_with_unshared_intron(_anchored(spark, sf))
+
+
+@query("cluster_json", f"""{ANCHORED} select m.cluster, i.sc || ':' || i.sp || i.ss as start, i.ec || ':' || i.ep || i.es as "end", i.reads
+  from members m join introns i using (key) where m.cluster in (select cluster from members group by 1 having count(*) > 1)""")
+def _(spark, sf):
+    from .. import sinks
+    from ..session import shared_folder
+    from ..sources import tables
+    path = shared_folder(spark, "clusters")
+    table = cut_lineage(introns(spark, sf).where("not trans"))
+    anchored = R.anchor_clusters(table.select("key", F.col("start.chr").alias("chr"), F.least("start.pos", "end.pos").alias("left"), F.greatest("start.pos", "end.pos").alias("right")))
+    sinks.cluster_json(anchored.join(table, "key")).write.text(path)
+    back = tables.parse_clusters(spark.read.text(path))
+    place = lambda c: F.concat(F.col(f"{c}.chr"), F.lit(":"), F.col(f"{c}.pos").cast("string"), F.col(f"{c}.strand"))
+    return back.select("cluster", place("start").alias("start"), place("end").alias("end"), "reads")
+
+
 CL = f"""{INTRONS}, members as materialized (select concat_ws(':', sc, least(sp, ep), greatest(sp, ep)) as cluster, key, reads, ss as strand,
    sc || '_' || sp || '_' || ss as s, ec || '_' || ep || '_' || es as e from introns where not trans)"""
 

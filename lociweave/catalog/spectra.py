@@ -227,20 +227,23 @@ def _(spark, sf):
     return S.tri_spectrum_weighted(aln3(spark, sf), ["trio"])
 
 
-@query("di_spectrum", f"""with {inputs.cte('aln3')}, {COLS}, {WIN4}, {DIM},
-  hit as materialized (select trio, wa[2:3] as o, wb[2:3] as vb, wc[2:3] as vc from win4 where {OK4}),
-  tot as (select trio, case when o in {FLIP_DOUBLETS} then {rc('o')} else o end as ori, count(*) as n from hit group by 1, 2),
-  mut as (select trio, 'B' as s, {di_label_sql('o', 'vb')} as label, count(*) as n from hit
-            where o[1] <> vb[1] and o[2] <> vb[2] group by all
-          union all select trio, 'C', {di_label_sql('o', 'vc')}, count(*) from hit
-            where o[1] <> vc[1] and o[2] <> vc[2] group by all),
-  dim2 as (select distinct {di_label_sql('(p.x || q.x)', '(r.x || t.x)')} as label
-           from acgt p, acgt q, acgt r, acgt t where p.x <> r.x and q.x <> t.x)
-  select k.trio, sp.s as species, d.label as "mutType", cast(coalesce(m.n, 0) as bigint) as "mutNum",
-         cast(coalesce(t.n, 0) as bigint) as "totalRootNum"
+DI_SPECTRUM = f"""
+hit2 as materialized (select trio, wa[2:3] as o, wb[2:3] as vb, wc[2:3] as vc from win4 where {OK4}),
+tot2 as (select trio, case when o in {FLIP_DOUBLETS} then {rc('o')} else o end as ori, count(*) as n from hit2 group by 1, 2),
+mut2 as (select trio, 'B' as s, {di_label_sql('o', 'vb')} as label, count(*) as n from hit2
+          where o[1] <> vb[1] and o[2] <> vb[2] group by all
+        union all select trio, 'C', {di_label_sql('o', 'vc')}, count(*) from hit2
+          where o[1] <> vc[1] and o[2] <> vc[2] group by all),
+dim2 as (select distinct {di_label_sql('(p.x || q.x)', '(r.x || t.x)')} as label
+         from acgt p, acgt q, acgt r, acgt t where p.x <> r.x and q.x <> t.x),
+doublets as (select k.trio, sp.s as species, d.label as "mutType", cast(coalesce(m.n, 0) as bigint) as "mutNum",
+       cast(coalesce(t.n, 0) as bigint) as "totalRootNum"
   from keys k cross join species sp cross join dim2 d
-  left join mut m on m.trio = k.trio and m.s = sp.s and m.label = d.label
-  left join tot t on t.trio = k.trio and t.ori = d.label[1:2]""")
+  left join mut2 m on m.trio = k.trio and m.s = sp.s and m.label = d.label
+  left join tot2 t on t.trio = k.trio and t.ori = d.label[1:2])"""
+
+
+@query("di_spectrum", f"with {inputs.cte('aln3')}, {COLS}, {WIN4}, {DIM}, {DI_SPECTRUM} select * from doublets")
 def _(spark, sf):
     return S.di_spectrum(aln3(spark, sf), ["trio"])
 

@@ -99,10 +99,20 @@ def _tri_spectrum(raw: DataFrame, aln: DataFrame, keys: Sequence[str]) -> DataFr
 
 def tri_spectrum(aln: DataFrame, keys: Sequence[str] = (), with_ori: bool = False) -> DataFrame:
     """96-class spectrum of ingroups B and C: keys, species, mutType, mutNum, totalRootNum."""
-    wide = _tri_spectrum(window_counts(aln, 3, TRIO, keys, informative_tri()), aln, keys)
+    return tri_spectrum_of(window_counts(aln, 3, TRIO, keys), aln, keys, with_ori)
+
+
+def tri_spectrum_of(raw: DataFrame, aln: DataFrame, keys: Sequence[str] = (), with_ori: bool = False) -> DataFrame:
+    """`tri_spectrum` from the counts of raw windows; `aln` names the keys that zero rows are made for."""
+    wide = _tri_spectrum(_where(raw, informative_tri()), aln, keys)
     return _by_species(wide, keys, ("oriType", "mutType") if with_ori else ("mutType",))
 
 
+def _where(raw: DataFrame, rule: Column) -> DataFrame:
+    """Counts that pass a rule, which is tied to the count so that it isn't pushed below the counting."""
+    return raw.where(F.when(rule, F.col("n")) > 0)
+
+
 def tri_spectrum_low_error(aln: DataFrame, keys: Sequence[str] = (), lowest: str = "5") -> DataFrame:
     """As `tri_spectrum`, only over windows where every p-line character is >= `lowest`.
 
@@ -168,9 +178,14 @@ def informative_di(wa="win_a", wb="win_b", wc="win_c") -> Column:
 
 def di_spectrum(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """78-class doublet spectrum of B and C; a change needs both bases to differ."""
+    return di_spectrum_of(window_counts(aln, 4, TRIO, keys), aln, keys)
+
+
+def di_spectrum_of(raw: DataFrame, aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`di_spectrum` from the counts of raw windows of four columns."""
     mid = lambda w: F.substring(F.col(w), 2, 2)
     # every informative combination is listed once per class of its original doublet
-    listed = window_counts(aln, 4, TRIO, keys, informative_di()).select(
+    listed = _where(raw, informative_di()).select(
         *keys, "n", B.canon_doublet(mid("win_a")).alias("oriType"),
         B.di_label(mid("win_a"), mid("win_b")).alias("to_b"), B.di_label(mid("win_a"), mid("win_c")).alias("to_c"),
         F.explode(F.array(*[F.lit(l) for l in di_labels()])).alias("mutType"))
@@ -222,7 +237,12 @@ def change_totals(matrix: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def sbst_ratio(aln: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Context-free substitution counts and percentage of B and C; only '-' is excluded."""
-    raw = window_counts(aln, 1, TRIO, keys, F.expr("win_a <> '-' and win_b <> '-' and win_c <> '-'"))
+    return sbst_ratio_of(window_counts(aln, 1, TRIO, keys), keys)
+
+
+def sbst_ratio_of(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`sbst_ratio` from the counts of single columns."""
+    raw = _where(counts, F.expr("win_a <> '-' and win_b <> '-' and win_c <> '-'"))
     total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n")).otherwise(0)), F.lit(0)).cast("bigint")
     cls = B.site_class("win_a", "win_b", "win_c")
     wide = raw.groupBy(*keys).agg(
@@ -258,13 +278,25 @@ def gc_content(fasta: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ).withColumn("gc_pct", F.col("gc") * 100.0 / F.nullif(F.col("acgt"), F.lit(0)))
 
 
+def gc_of(counts: DataFrame, side: str, keys: Sequence[str] = ()) -> DataFrame:
+    """`gc_content` of one sequence of an alignment from the counts of single columns."""
+    among = lambda letters: F.sum(F.when(F.col(f"win_{side}").isin(*letters), F.col("n")).otherwise(0)).cast("bigint")
+    return counts.groupBy(*keys).agg(among("CG").alias("gc"), among("ACGT").alias("acgt")).withColumn(
+        "gc_pct", F.col("gc") * 100.0 / F.nullif(F.col("acgt"), F.lit(0)))
+
+
 def base_count(fasta: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return fasta.groupBy(*keys).agg(F.sum(F.length("seq")).cast("bigint").alias("bases"))
 
 
 def percent_identity(aln2: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """100 * matches / (matches + mismatches) over columns without a gap."""
-    raw = window_counts(aln2, 1, PAIR, keys, F.expr("win_a <> '-' and win_b <> '-'"))
+    return percent_identity_of(window_counts(aln2, 1, PAIR, keys), keys)
+
+
+def percent_identity_of(counts: DataFrame, keys: Sequence[str] = (), other: str = "b") -> DataFrame:
+    """`percent_identity` of A and another sequence from the counts of single columns."""
+    raw = _where(counts.withColumn("win_b", F.col(f"win_{other}")), F.expr("win_a <> '-' and win_b <> '-'"))
     out = raw.groupBy(*keys).agg(
         F.sum(F.when(F.col("win_a") == F.col("win_b"), F.col("n")).otherwise(0)).alias("matches"),
         F.sum(F.when(F.col("win_a") != F.col("win_b"), F.col("n")).otherwise(0)).alias("mismatches"))

@@ -77,6 +77,25 @@ def window_counts(aln: DataFrame, width: int, sides: Sequence[str] = TRIO, keys:
     return counts if rule is None else counts.where(F.when(rule, F.col("n")) > 0)
 
 
+#: Stands for what lies behind the last column of a block.
+BEHIND = "#"
+
+
+def marginal_counts(aln: DataFrame, width: int, sides: Sequence[str] = TRIO, keys: Sequence[str] = ()) -> DataFrame:
+    """Counts of windows of `width` columns at every column, those at a block's end filled up with BEHIND.
+
+    Every narrower window is the beginning of exactly one of them, so one pass over the alignment serves all widths (see `narrower`).
+    """
+    padded = aln.select(*keys, *[F.concat(F.col(f"seq_{s}"), F.lit(BEHIND * (width - 1))).alias(f"seq_{s}") for s in sides])
+    return window_counts(padded, width, sides, keys)
+
+
+def narrower(counts: DataFrame, width: int, sides: Sequence[str] = TRIO, keys: Sequence[str] = ()) -> DataFrame:
+    """`window_counts` of `width` columns from `marginal_counts` of as many or more."""
+    inside = F.substring(F.col(f"win_{sides[0]}"), width, 1) != BEHIND
+    return counts.where(inside).groupBy(*keys, *[F.left(F.col(f"win_{s}"), F.lit(width)).alias(f"win_{s}") for s in sides]).agg(F.sum("n").alias("n"))
+
+
 def _bases(text: Column) -> Column:
     return F.length(F.translate(text.cast("string"), "-", "")).cast("bigint")
 

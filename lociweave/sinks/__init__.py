@@ -58,10 +58,24 @@ def write_introns(introns: DataFrame, path: str, mode: str = "error") -> None:
     intron_json(introns).write.mode(mode).text(path)
 
 
+def _intron_fields() -> list[Column]:
+    return [F.col("start").alias("intronStart"), F.col("end").alias("intronEnd"), F.col("length").alias("intronLength"), F.array("don", "acc").alias("splicingSignal")]
+
+
+def cluster_json(members: DataFrame) -> DataFrame:
+    """`value` rows, one a cluster: a map of its name to its introns, by start and end, each with the number of its reads.
+
+    members: cluster, start, end, length, don, acc, reads (number). A cluster is one row, as its readers want it.
+    """
+    one = F.struct(*_intron_fields(), F.col("reads").cast("bigint").alias("reads"))
+    listed = members.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("start", "end", one.alias("v")))).alias("m"))
+    return listed.select(F.to_json(F.create_map("cluster", F.transform("m", lambda x: x["v"]))).alias("value"))
+
+
 def intron_json(introns: DataFrame) -> DataFrame:
-    """`value` rows of introns with key, start, end, length, don, acc and reads."""
-    fields = F.struct(F.col("start").alias("intronStart"), F.col("end").alias("intronEnd"), F.col("length").alias("intronLength"),
-                      F.array("don", "acc").alias("splicingSignal"), F.col("reads").alias("readIDs"))
+    """`value` rows of introns with key, start, end, length, don, acc, reads and, where there is such a column, alignments."""
+    more = [F.col("alignments")] if "alignments" in introns.columns else []
+    fields = F.struct(*_intron_fields(), F.col("reads").alias("readIDs"), *more)
     return introns.select(F.to_json(F.create_map("key", fields)).alias("value"))
 
 

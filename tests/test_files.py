@@ -147,3 +147,65 @@ def test_partitioned_writers(spark, folder):
 def test_natural_order(spark):
     df = spark.createDataFrame([(c,) for c in ("chr10", "chr2", "chrX", "chr1b3", "chr1b12")], "c string")
     assert [r[0] for r in df.orderBy(natural_key("c")).collect()] == ["chr1b3", "chr1b12", "chr2", "chr10", "chrX"]
+
+
+# ---- layouts that lie together ---------------------------------------------
+
+def place(chr_, pos, strand="+"):
+    return {"chr": chr_, "pos": pos, "strand": strand}
+
+
+def intron(k, reads=("r1",), **more):
+    return {"intronStart": place("c1", k), "intronEnd": place("c1", k + 50), "intronLength": 50, "splicingSignal": ["GT", "AG"], "readIDs": list(reads), **more}
+
+
+def test_intron_layouts_in_one_folder(spark, folder):
+    """A map over many lines, maps in lines, one map in one line, and a blank line; alignments where a file has them."""
+    lines = [["s c1 1 2", "s r1 1 2"], ["s c1 9 2", "s r1 4 2"]]
+    put(folder, "whole.json", json.dumps({"a": intron(1, alignments=[lines]), "b": intron(2)}, indent=2))
+    put(folder, "lines.json", json.dumps({"c": intron(3)}) + "\n\n" + json.dumps({"d": intron(4), "e": intron(5)}) + "\n")
+    put(folder, "single.json", json.dumps({"f": intron(6, ("r1", "r2"))}))
+    rows = {r["key"]: r for r in S.read_introns_json(spark, folder).collect()}
+    assert sorted(rows) == list("abcdef") and rows["f"]["reads"] == ["r1", "r2"] and rows["e"]["start"]["pos"] == 5
+    assert rows["a"]["alignments"] == [lines] and rows["b"]["alignments"] is None
+    back = folder + "/back"
+    sinks.write_introns(S.read_introns_json(spark, folder), back)
+    assert {r["key"]: r["alignments"] for r in S.read_introns_json(spark, back).collect()}["a"] == [lines]
+
+
+def test_text_that_is_no_intron_map_is_an_error(spark, folder):
+    put(folder, "good.json", json.dumps({"a": intron(1)}))
+    put(folder, "bad.json", "{\"a\": {\n\"intronStart\": \n")
+    with pytest.raises(Exception, match="not a map of introns"):
+        S.read_introns_json(spark, folder).collect()
+
+
+def test_cluster_json(spark):
+    from lociweave.sources import tables
+    p = lambda pos: ("c1", pos, "+")
+    rows = [("k1", p(30), p(60), 30, "GT", None, 4), ("k1", p(10), p(50), 40, "GT", "AG", 2), ("k9", p(1), p(2), 1, None, None, 1)]
+    end = "struct<chr: string, pos: bigint, strand: string>"
+    df = spark.createDataFrame(rows, f"cluster string, start {end}, end {end}, length bigint, don string, acc string, reads bigint")
+    text = sinks.cluster_json(df)
+    one = {k: v for r in text.collect() for k, v in json.loads(r["value"]).items()}
+    assert [x["intronStart"]["pos"] for x in one["k1"]] == [10, 30] and one["k1"][0]["reads"] == 2 and one["k1"][0]["splicingSignal"] == ["GT", "AG"]
+    assert sorted(map(str, tables.parse_clusters(text).collect())) == sorted(map(str, df.collect()))
+
+
+def test_spectra_of_two_layouts(spark, folder):
+    put(folder, "GCA_1_Abc_20250101.tsv", "mutType\tmutNum\ttotalRootNum\nA[C>A]A\t3\t9\n")
+    put(folder, "GCA_2_Def_20250101.tsv", "oriType\tmutType\ttotalRootNum\tmutNum\ts_cds\r\nACA\tA[C>A]A\t8\t2\t1\r\n")
+    rows = {r["accession"]: r for r in S.read_spectra(spark, folder).collect()}
+    assert (rows["GCA_1"]["mutNum"], rows["GCA_1"]["totalRootNum"], rows["GCA_1"]["oriType"], rows["GCA_1"]["s_cds"]) == (3, 9, None, None)
+    assert (rows["GCA_2"]["mutNum"], rows["GCA_2"]["totalRootNum"], rows["GCA_2"]["oriType"], rows["GCA_2"]["s_cds"]) == (2, 8, "ACA", 1)
+    put(folder, "GCA_3_Ghi_20250101.tsv", "A[C>A]A\t3\t9\n")
+    with pytest.raises(Exception, match="no header line"):
+        S.read_spectra(spark, folder).collect()
+
+
+def test_clips_of_alignments(spark):
+    from lociweave.operators import pairs
+    rows = [(1, "ACG-T", "AC-GT", 0, 4, 4), (2, "ACGT", "ACTT", 3, 7, 9)]
+    df = spark.createDataFrame(rows, "aln_id long, seq_a string, seq_b string, r_start long, r_end long, r_len long")
+    got = {r["aln_id"]: r["cigar"] for r in pairs.with_clips(pairs.alignment_stats(df, ["aln_id", "r_start", "r_end", "r_len"])).collect()}
+    assert got == {1: "2=1D1I1=", 2: "3H2=1X1=2H"}

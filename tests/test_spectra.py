@@ -1,11 +1,14 @@
 """Expected counts of small hand-checked alignments, read from MAF text."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lociweave.operators import sites, spectra
+from lociweave.operators import spectra as S
+from lociweave.operators import windows as W
 from lociweave.sources import flatten_trio, read_maf
 
 
@@ -151,3 +154,42 @@ def test_long_blocks_with_error_lines(spark):
     one = sorted((r._part, r.start_b, r.seq_b) for r in parts.where("block_id = 2").collect())
     for (k, start, seq), (_, after, _) in zip(one, one[1:]):
         assert after - start == len(seq[:64].replace("-", ""))
+
+
+def test_one_pass_for_all_widths(spark):
+    """Every narrower count comes from the widest one, also at the ends of short blocks."""
+    rng = random.Random(31)
+    rows = [("t" + str(i % 2), *["".join(rng.choice("ACGTacgt-N") for _ in range(n)) for _ in range(3)]) for i, n in enumerate([0, 1, 2, 3, 4, 5, 60, 200])]
+    aln = spark.createDataFrame(rows, "trio string, seq_a string, seq_b string, seq_c string")
+    four = W.marginal_counts(aln, 4, keys=["trio"])
+    for width in (1, 2, 3, 4):
+        got = W.narrower(four, width, keys=["trio"]).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, W.window_counts(aln, width, keys=["trio"]).collect()))
+
+
+def test_trio_plan_equals_its_parts(spark):
+    from lociweave.plans.trio import trio_metrics, trio_spectra
+    rng = random.Random(32)
+    def near(a):  # noqa: E301
+        return "".join(x if rng.random() < 0.85 else rng.choice("ACGT-N") for x in a)
+    rows = []
+    for i in range(12):
+        a = "".join(rng.choice("ACGT-") for _ in range(150))
+        rows.append((i, "t" + str(i % 2), "c1", 1000 * i, "+", 10 ** 6, a, 0, near(a), 0, near(a)))
+    aln = spark.createDataFrame(rows, "block_id long, trio string, chr_a string, start_a long, strand_a string, len_a long, seq_a string, start_b long, seq_b string, start_c long, seq_c string")
+    cds = spark.createDataFrame([("c1", 20, 60), ("c1", 3030, 3090), ("c1", 5000, 5200)], "chr string, start long, end long")
+    out = trio_spectra(aln, ["trio"], cds)
+    from lociweave.operators.blocks import cut_features
+    for variant, blocks in (("all", aln), ("ncds", cut_features(aln, cds))):
+        for kind, fn in (("tri", S.tri_spectrum), ("di", S.di_spectrum)):
+            want = fn(blocks, ["trio"]).select("trio", "species", "mutType", "mutNum", "totalRootNum")
+            got = out.where(f"variant = '{variant}' and kind = '{kind}'").select(want.columns)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    m = trio_metrics(aln, ["trio"])
+    ident = {(r[0], r[1]): r[2] for r in m["identity"].collect()}
+    gc = {(r[0], r[1]): r[2] for r in m["gc"].collect()}
+    for s in "bc":
+        for r in S.percent_identity(aln.select("trio", "seq_a", F.col(f"seq_{s}").alias("seq_b")), ["trio"]).collect():
+            assert ident[r["trio"], s.upper()] == r["identity"]
+        for r in S.gc_content(aln.select("trio", F.col(f"seq_{s}").alias("seq")), ["trio"]).collect():
+            assert gc[r["trio"], s.upper()] == r["gc_pct"]
