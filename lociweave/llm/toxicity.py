@@ -122,7 +122,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", confirmed: i
     if not prior:
         return None
     toxic = draw(known, confirmed, F.col("y") == 1).select("doc_id", F.lit(True).alias("confirmed"))
-    other = draw(docs.select("doc_id"), unlabelled, F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.lit(False).alias("confirmed"))
+    ids = docs.select("doc_id").distinct()  # else an id of many rows could be all that is drawn
+    other = draw(ids, unlabelled, F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.lit(False).alias("confirmed"))
+    # one text of each drawn id, the first in order
+    texts = texts_of(docs, toxic.unionByName(other)).groupBy("doc_id", "confirmed").agg(F.min("text").alias("text"))
 
     def make():
         reader = Reader()
@@ -133,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", confirmed: i
         return step
 
     # bounded by the two limits; in a fixed order, so that a repeated task fits the same model
-    got = map_batches(texts_of(docs, toxic.unionByName(other)), make, "confirmed boolean, idx binary").collect()
+    got = map_batches(texts, make, "confirmed boolean, idx binary").collect()
     got.sort(key=lambda r: (r["confirmed"], bytes(r["idx"])))
     columns = [np.frombuffer(r["idx"], np.int32) for r in got]
     return fit(columns, np.array([r["confirmed"] for r in got], bool), min(max(prior, 1e-4), 1 - 1e-4))

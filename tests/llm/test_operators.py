@@ -153,6 +153,17 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity.scored(no_docs, labels).count() == 0
 
 
+def test_toxicity_sample_with_one_id_on_most_rows(spark, monkeypatch):
+    """1,500 of 2,000 rows have one id: it supplies one text, whatever its rows."""
+    free = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(free[0], f"copy {k}") for k in range(1500)] + [(i, f"text {i}") for i in free[1:501]]
+    labels = spark.createDataFrame([(i, int(k % 2 == 0)) for k, i in enumerate(free[:200])], "doc_id long, toxic long")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda columns, confirmed, prior: seen.append((len(columns), int(confirmed.sum()))))
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert seen == [(100 + 501, 100)]
+
+
 def test_held_out(docs):
     for r in quality.score(docs, None).withColumn("h", quality.held_out(F.col("doc_id"))).collect():
         assert r.h == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
