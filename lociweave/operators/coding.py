@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import bases as B
 from ..functions.coords import to_plus
+from ..session import cut_lineage
 from .intervals import BIN, merge_intervals, overlap_join
 from .membership import split_by
 from .spectra import informative_tri
@@ -58,7 +59,7 @@ def block_ranges(aln: DataFrame, merged: DataFrame, key: str = "block_id", bin_s
     # coalesce keeps the join from testing spans for null at the scan, which would measure every sequence twice
     spans = aln.select(key, F.col("chr_a").alias("chr"), F.coalesce(lo, F.lit(-1)).cast("bigint").alias("start"), F.coalesce(hi, F.lit(-1)).cast("bigint").alias("end"),
                        F.when(F.col("strand_a") == "-", F.col("len_a")).alias("_flip"))
-    met = overlap_join(spans, merged, "r_", bin_size)
+    met = overlap_join(cut_lineage(spans), cut_lineage(merged), "r_", bin_size)  # narrow rows, read twice: sequences are measured once
     own = F.when(F.col("_flip").isNull(), F.struct(F.col("r_start").alias("b"), F.col("r_end").alias("e"))).otherwise(
         F.struct((F.col("_flip") - F.col("r_end")).alias("b"), (F.col("_flip") - F.col("r_start")).alias("e")))
     return met.groupBy(key).agg(F.sort_array(F.collect_list(own)).alias("_r")).select(key, F.col("_r.b").alias("_begs"), F.col("_r.e").alias("_ends"))
@@ -66,7 +67,7 @@ def block_ranges(aln: DataFrame, merged: DataFrame, key: str = "block_id", bin_s
 
 def coding_window_counts(aln: DataFrame, features: DataFrame, keys: Sequence[str] = (), key: str = "block_id", bin_size: int = BIN) -> DataFrame:
     """keys, win_a, win_b, win_c, coding, n: informative windows by whether the middle base of the outgroup lies in a feature."""
-    ranges = block_ranges(aln, merge_intervals(features.select("chr", "start", "end")), key, bin_size)
+    ranges = cut_lineage(block_ranges(aln, merge_intervals(features.select("chr", "start", "end")), key, bin_size))
     near, far = split_by(aln, ranges.select(key), key)
     plain = window_counts(far, 3, TRIO, keys, informative_tri()).withColumn("coding", F.lit(False))
 

@@ -1,6 +1,6 @@
 """Interval operators on (chr, start, end), 0-based half open.
 
-Overlap joins are equi joins on (chr, level, bin): bins of a level are eight times as wide as those of the level
+Overlap joins are equi joins on (chr, level, bin): bins of a level are 16 times as wide as those of the level
 below, an interval lives at the lowest level where it touches MOST bins or fewer, and a pair meets at the
 higher of its two levels, in the first bin both share. Hot bins are left to AQE's skew split, or salted with `salt_above`.
 """
@@ -15,7 +15,7 @@ from .scans import WIDTH, positions, scan
 
 BIN = 1 << 14
 #: Bins that an interval is listed in at most, width of a level's bins over those below, number of levels.
-MOST, WIDER, LEVELS = 4, 8, 10
+MOST, WIDER, LEVELS = 16, 16, 8
 
 
 # ---- merging ---------------------------------------------------------------
@@ -81,16 +81,21 @@ def _level(bin_size: int, first: Column, last: Column) -> Column:
     return level
 
 
-def _listed(df: DataFrame, bin_size: int, start: str, end: str, closed: bool, levels: DataFrame | None) -> DataFrame:
-    """Rows per level and bin: _own (the interval's level), _lvl, _bin0 (its first bin there), _bin. `levels`: those of the other side; without it, all above are taken."""
-    last = F.col(end) if closed else F.greatest(F.col(end) - 1, F.col(start))
-    placed = df.withColumns({"_last": last, "_own": _level(bin_size, F.col(start), last)})
-    if levels is None:
-        at = placed.withColumn("_lvl", F.explode(F.sequence(F.col("_own"), F.lit(LEVELS - 1))))
-    else:  # at most LEVELS rows with one array
-        others = levels.agg(F.collect_set("_own").alias("_all"))
-        at = placed.join(F.broadcast(others)).withColumn("_lvl", F.explode(F.array_union(
-            F.array("_own"), F.filter("_all", lambda k: k > F.col("_own"))))).drop("_all")
+def _last(start: str, end: str, closed: bool) -> Column:
+    return F.col(end) if closed else F.greatest(F.col(end) - 1, F.col(start))
+
+
+def _levels(df: DataFrame, bin_size: int, start: str, end: str, closed: bool) -> DataFrame:
+    """One row: the levels that a table's intervals live at, LEVELS at most. Only the two columns are read for it."""
+    at = df.select(F.col(start).alias("s"), _last(start, end, closed).alias("e"))
+    return at.select(_level(bin_size, F.col("s"), F.col("e")).alias("l")).agg(F.collect_set("l").alias("_all"))
+
+
+def _listed(df: DataFrame, bin_size: int, start: str, end: str, closed: bool, others: DataFrame) -> DataFrame:
+    """Rows per level and bin: _own (the interval's level), _lvl (that, or a higher one of `others`), _bin0 (its first bin there), _bin."""
+    placed = df.withColumns({"_last": _last(start, end, closed), "_own": _level(bin_size, F.col(start), _last(start, end, closed))})
+    at = placed.join(F.broadcast(others)).withColumn("_lvl", F.explode(F.array_union(  # one row
+        F.array("_own"), F.filter("_all", lambda k: k > F.col("_own"))))).drop("_all")
     width = (F.lit(bin_size) * F.pow(F.lit(WIDER), F.col("_lvl"))).cast("bigint")
     lo, hi = F.floor(F.col(start) / width), F.floor(F.col("_last") / width)
     return at.withColumns({"_bin0": lo, "_bin": F.explode(F.sequence(lo, hi))}).drop("_last")
@@ -101,14 +106,13 @@ def overlap_join(a: DataFrame, b: DataFrame, prefix: str = "b_", bin_size: int =
     """All pairs sharing at least one base; columns of a, then those of b with `prefix`.
 
     `condition` replaces the overlap test (on a's columns and prefixed b's); with
-    `closed`, intervals that only touch end-to-start are candidates too. b is the smaller side: it is read once more to
-    see which levels it has, and listed at all levels above its own; a is listed at its own level and at those of b. A long
-    interval has MOST bins, each at most half empty of it, so candidates stay in proportion to the pairs.
+    `closed`, intervals that only touch end-to-start are candidates too. Starts and ends of both sides are read once
+    more to see which levels occur; an interval is listed at its own and at the higher ones of the other side. A long interval has MOST bins,
+    which it fills but for the first and last, so candidates stay in proportion to the pairs.
     """
     right = b.select([F.col(c).alias(prefix + c) for c in b.columns])
-    r = _listed(right, bin_size, prefix + "start", prefix + "end", closed, None)
-    ends = right.select(F.col(prefix + "start").alias("s"), (F.col(prefix + "end") if closed else F.greatest(F.col(prefix + "end") - 1, F.col(prefix + "start"))).alias("e"))
-    l = _listed(a, bin_size, "start", "end", closed, ends.select(_level(bin_size, F.col("s"), F.col("e")).alias("_own")).distinct())
+    r = _listed(right, bin_size, prefix + "start", prefix + "end", closed, _levels(a, bin_size, "start", "end", closed))
+    l = _listed(a, bin_size, "start", "end", closed, _levels(right, bin_size, prefix + "start", prefix + "end", closed))
     r = r.withColumnsRenamed({"_bin0": "_rbin0", "_bin": "_rbin", "_own": "_rown", "_lvl": "_rlvl"})
     on_l, on_r = ["chr", "_lvl", "_bin"], [prefix + "chr", "_rlvl", "_rbin"]
     if salt_above:
