@@ -260,6 +260,18 @@ def _(spark, sf):
     return tag(both, "pair").unionByName(tag(one, "single_1")).unionByName(tag(two, "single_2"))
 
 
+# every line is on one side or the other
+@query("mate_pairs_of_all_rows", """with a as (select distinct l_orderkey as pair_id from lineitem where l_linenumber % 2 = 1), b as (select distinct l_orderkey as pair_id from lineitem where l_linenumber % 2 = 0)
+  select pair_id, 'pair' as kind from a join b using (pair_id) union all select pair_id, 'single_1' from a anti join b using (pair_id)
+  union all select pair_id, 'single_2' from b anti join a using (pair_id)""")
+def _(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    side = lambda odd: li.where((F.col("l_linenumber") % 2 == odd)).select(F.col("l_orderkey").alias("pair_id")).distinct()
+    both, one, two = Y.mates(side(1), side(0))
+    tag = lambda d, k: d.select("pair_id", F.lit(k).alias("kind"))
+    return tag(both, "pair").unionByName(tag(one, "single_1")).unionByName(tag(two, "single_2"))
+
+
 @query("distinct_rows", f"{SEG} select distinct chr, start, \"end\" from segments")
 def _(spark, sf):
     return segments(spark, sf).select("chr", "start", "end").distinct()
