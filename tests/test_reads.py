@@ -41,6 +41,16 @@ def test_junctions(reads):
     assert rows["r6"]["trans"] and rows["r6"]["end"]["strand"] == "-"
 
 
+def test_junctions_of_repeated_ids(spark):
+    # id 1 stands for two alignments of one read: both take part wherever the id does, as in the check SQL
+    rows = [read(1, "r1", "GT", None, "c1", 100, 150, 0, 50, "+"), read(1, "r1", "GT", None, "c2", 100, 150, 0, 50, "+"),
+            read(2, "r1", None, "AG", "c1", 300, 350, 50, 100, "+"), read(1, "r2", "GT", None, "c9", 100, 150, 0, 50, "+")]
+    j = R.junctions(spark.createDataFrame(rows, READ).repartition(2))
+    assert sorted((r["aln1_id"], r["aln2_id"], r["key"]) for r in j.collect()) == [(1, 2, "c1_150_+_c1_300_+"), (1, 2, "c2_150_+_c1_300_+")]
+    again = spark.createDataFrame(rows[:1] * 2 + rows[2:3] * 2, READ)
+    assert R.intron_table(R.junctions(again)).select("reads").collect()[0][0] == 4
+
+
 def test_intron_facts(reads):
     j = R.junctions(reads)
     table = {r["key"]: r for r in R.intron_table(j).collect()}
