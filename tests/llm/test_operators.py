@@ -93,6 +93,25 @@ def test_html(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+def test_differencing_decides_among_named_articles(spark):
+    """An article element that the neighbour has too is template; a passage that two articles share stays."""
+    page = lambda own: (f"<body><nav>Menu</nav><p>Site</p><article><h1>{own}</h1><p>A shared passage</p><p>{own} ends</p></article>"
+                        "<article><h2>Read next</h2><p>The same teaser</p></article></body>")
+    rows = [(1, "http://h/a/1", page("One")), (2, "http://h/a/2", page("Two")),
+            (3, "http://k/a/1", page("Alone")),
+            # all that is named is shared: the elements stay whole
+            (4, "http://m/a/1", "<p>x</p><article><p>Same text</p></article>"), (5, "http://m/a/2", "<p>y</p><article><p>Same text</p></article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got[1] == "One\nA shared passage\nOne ends" and got[2] == "Two\nA shared passage\nTwo ends"
+    assert got[3] == "Alone\nA shared passage\nAlone ends\nRead next\nThe same teaser"
+    assert got[4] == got[5] == "Same text"
+
+
 def test_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(300):
