@@ -3,8 +3,8 @@
 The repeated stretches of the collection (see repeats.py) are indexed in shards. Each shard's suffixes are ordered once, which
 gives its transform: the symbols before each suffix, in the suffixes' order. The shards' transforms are merged without ordering
 suffixes again: the merge is a row of shard numbers, the interleave. Reading it from the start, each entry yields the next
-suffix of its shard and the two symbols before that suffix; dealing the entries out by these symbols, in order, is
-the interleave of the suffixes two symbols longer. Two neighbours in the new order share their longer beginning exactly if
+suffix of its shard and the symbols before that suffix, as many as fit into one number beside the entry's place; dealing the
+entries out by these symbols, in order, is the interleave of the suffixes that much longer. Two neighbours in the new order share their longer beginning exactly if
 their symbols are equal and no border lay between them before, so the blocks of suffixes with a common beginning of
 LENGTH bytes come along with the refinement: they are the repeated intervals.
 
@@ -42,10 +42,20 @@ def _eight(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(key: np.ndarray) -> np.ndarray:
+def _in_order(key: np.ndarray, bits: int, kind: str = "stable") -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of keys below 2^bits, equal ones in turn, and the sorted keys. Key and place are sorted as one number where they fit."""
+    own = len(key).bit_length()
+    if bits + own > 64:
+        order = np.argsort(key, kind=kind)
+        return order, key[order]
+    both = key.astype(np.uint64) << np.uint64(own) | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return (both & np.uint64((1 << own) - 1)).astype(np.int32 if own < 32 else np.int64), both >> np.uint64(own)
+
+
+def _ranks(key: np.ndarray, bits: int = 64) -> np.ndarray:
     """Ranks from 1; equal keys have equal ranks."""
-    order = np.argsort(key)
-    s = key[order]
+    order, s = _in_order(key, bits, "quicksort")
     out = np.empty(len(key), np.int64)
     out[order] = np.cumsum(np.concatenate([[True], s[1:] != s[:-1]]))
     return out
@@ -58,9 +68,9 @@ def suffix_order(eight: np.ndarray, left: np.ndarray, length: int) -> np.ndarray
         step = min(done, length - done)
         later = np.zeros(n, np.int64)
         later[:n - step] = np.where(left[:n - step] > step, rank[step:], 0)
-        rank = _ranks(rank * (n + 2) + later)
+        rank = _ranks(rank * (n + 2) + later, ((n + 2) ** 2).bit_length())
         done += step
-    return np.argsort(rank)
+    return _in_order(rank, n.bit_length())[0]
 
 
 def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +79,10 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
     text = np.frombuffer(b"".join(contents), np.uint8)
     place, left = _before_end(sizes)
     eight = _eight(text, left)
-    two = np.zeros(len(text), np.uint16)
-    two[2:] = text[:-2].astype(np.uint16) << np.uint16(8) | text[1:-1]
+    wide = max(1, min(8, (64 - len(text).bit_length()) // 8))
+    padded, symbols = np.concatenate([np.zeros(wide, np.uint8), text]), np.zeros(len(text), np.uint64)
+    for k in range(wide):
+        symbols = symbols << np.uint64(8) | padded[k:k + len(text)]
 
     # the shards: whole contents, each shard's suffixes in order, its transform beside them
     goal = np.arange(1, shards + 1) * len(text) / shards
@@ -81,7 +93,7 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
         a = b
     own = np.concatenate(orders).astype(np.int32)
     shard = np.repeat(np.arange(len(orders), dtype=np.uint8), [len(o) for o in orders])
-    transform, inside, rest = two[own], place[own].astype(np.int32), left[own].astype(np.int32)
+    transform, inside, rest = symbols[own], place[own].astype(np.int32), left[own].astype(np.int32)
 
     # the first interleave is that of the suffixes' first bytes; entries whose suffix is shorter than the depth are over
     depth = 8
@@ -96,12 +108,11 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
         # the k-th entry of a shard in the interleave is the k-th of its suffixes
         turn = _in_turn(interleave, live, len(orders))
         block = np.cumsum(border, dtype=np.int32)
-        step = min(2, length - depth)
+        step = min(wide, length - depth)
         can = np.flatnonzero(inside[turn] >= step)
         turn, block = turn[can], block[can]
-        before = transform[turn] if step == 2 else transform[turn] & np.uint16(255)
-        order = np.argsort(before, kind="stable")
-        before, block, interleave = before[order], block[order], shard[turn[order]]
+        order, before = _in_order(transform[turn] & np.uint64((1 << 8 * step) - 1), 8 * step)
+        block, interleave = block[order], shard[turn[order]]
         border = np.concatenate([[True], (before[1:] != before[:-1]) | (block[1:] != block[:-1])])[:len(before)]
         depth += step
         live = live[rest[live] >= depth]

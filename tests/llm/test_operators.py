@@ -93,6 +93,24 @@ def test_html(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+def test_transforms_are_merged_several_symbols_a_round(monkeypatch):
+    """A round of the merge deals by as many symbols as fit beside an entry's place; the classes are those of equal windows."""
+    rounds = []
+    turn = bwt_merge._in_turn
+    monkeypatch.setattr(bwt_merge, "_in_turn", lambda *a: rounds.append(1) or turn(*a))
+    rng = random.Random(7)
+    for symbols in ("ab", "abcdefgh \xff"):
+        base = "".join(rng.choice(symbols) for _ in range(4000)).encode("latin-1")
+        contents = [base[a:a + rng.randrange(50, 400)] for a in (rng.randrange(3600) for _ in range(60))] + [b"a" * 300]
+        windows = [c[i:i + 50] for c in contents for i in range(len(c) - 49)]
+        rounds.clear()
+        got = bwt_merge.classes(contents).tolist()
+        assert len(got) == len(windows) and len(set(zip(got, windows))) == len(set(got)) == len(set(windows))
+        assert len(rounds) <= 10  # 22 when two symbols were dealt a round
+    places, key = bwt_merge._in_order(np.array([5, 1, 5, 0], np.uint64), 64)
+    assert places.tolist() == [3, 1, 0, 2] and key.tolist() == [0, 1, 5, 5]
+
+
 def test_differencing_decides_among_named_articles(spark):
     """An article element that the neighbour has too is template; a passage that two articles share stays."""
     page = lambda own: (f"<body><nav>Menu</nav><p>Site</p><article><h1>{own}</h1><p>A shared passage</p><p>{own} ends</p></article>"
