@@ -42,3 +42,7 @@ def same(spark, tables, name):
 
 def test_frequent_signals(spark, tables):
     same(spark, tables, "frequent_signals")
+
+
+def test_intron_reads(spark, tables):
+    same(spark, tables, "intron_reads")
