@@ -46,3 +46,7 @@ def test_frequent_signals(spark, tables):
 
 def test_intron_reads(spark, tables):
     same(spark, tables, "intron_reads")
+
+
+def test_linear_and_trans_introns(spark, tables):
+    same(spark, tables, "linear_and_trans_introns")
