@@ -50,3 +50,7 @@ def test_intron_reads(spark, tables):
 
 def test_linear_and_trans_introns(spark, tables):
     same(spark, tables, "linear_and_trans_introns")
+
+
+def test_signals_by_reads(spark, tables):
+    same(spark, tables, "signals_by_reads")
