@@ -54,3 +54,7 @@ def test_linear_and_trans_introns(spark, tables):
 
 def test_signals_by_reads(spark, tables):
     same(spark, tables, "signals_by_reads")
+
+
+def test_top_signals(spark, tables):
+    same(spark, tables, "top_signals")
