@@ -10,9 +10,9 @@ as a whole:
   1. each bucket names a leader (first by a hash of the id); every node is held against the leader that it shares
      most buckets with;
   2. pairs of node and leader that this leaves in different groups are held against each other, and components are formed;
-  3. in buckets that still hold several components, pairs of the nodes outside the bucket's largest one with nodes of other
-     components remain, unless the shingles that a node has alone rule a link out (two sets share at most what either has
-     in common with anyone). Each node's likeliest pair is confirmed first, then those that still lie across components.
+  3. in buckets that still hold several components, the nodes outside the bucket's largest one are held against all of its
+     nodes, unless the shingles that a node has alone rule any link out. A bucket's full sets meet in tiles of a bounded number of
+     shingles, each with an index of its shingles; a tile returns one link for two components at most, so no pair is a row.
      After that every candidate pair is linked, checked, ruled out, or inside one component.
 
 Defined results: a null, empty or blank text has no shingles, links with nothing and is kept; a text with fewer words than
@@ -35,6 +35,8 @@ from .components import components
 BANDS = 32
 PER_BAND = 3
 PERMUTATIONS = BANDS * PER_BAND
+#: Shingles on either side of a tile, about; a bucket with more is held against itself in several tiles.
+TILE = 1 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,6 +163,52 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
             .where("coalesce(c_a, a) != coalesce(c_b, b)").select("a", "b"))
 
 
+def _links_across(table: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) that join the components of a tile: each row of its right side is counted against the index of its left side."""
+    node, c = (table.column(k).to_numpy() for k in ("node", "c"))
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("s").to_pylist()]
+    n = np.array([len(s) for s in sets], np.int64)
+    left, right = (np.flatnonzero(table.column(side).to_numpy()) for side in ("is_left", "is_right"))
+    shingle = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in left)])
+    order = np.argsort(shingle, kind="stable")
+    owner, shingle = np.repeat(left, n[left])[order], shingle[order]
+    top: dict[int, int] = {}
+
+    def root(x):
+        while x in top:
+            x = top[x]
+        return x
+
+    links = []
+    for p in right:
+        first, last = np.searchsorted(shingle, sets[p], "left"), np.searchsorted(shingle, sets[p], "right")
+        size = last - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        both = np.bincount(owner[at], minlength=len(node))
+        met = np.flatnonzero((c != c[p]) & (both > 0) & (100 * both >= percent * (n + n[p] - both)))
+        for x in met[np.unique(c[met], return_index=True)[1]]:
+            one, other = root(int(c[p])), root(int(c[x]))
+            if one != other:
+                top[max(one, other)] = min(one, other)
+                links.append((node[p], node[x]))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _confirmed_in_tiles(inside: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Links (a, b) between the components of each bucket: inside has key, node, n, component c and the bucket's largest."""
+    outside = F.col("c") != F.col("largest")
+    parts = lambda n: F.greatest(F.ceil(F.sum(n) / tile), F.lit(1)).cast("int")
+    sizes = inside.groupBy("key").agg(parts(F.col("n")).alias("lefts"), parts(F.when(outside, F.col("n")).otherwise(0)).alias("rights"))
+    place = F.xxhash64("node")
+    dealt = (inside.join(sizes, "key").withColumns({"own_left": F.pmod(place, "lefts").cast("int"), "own_right": F.pmod(place, "rights").cast("int")})
+             .withColumn("row", F.transform(F.sequence(F.lit(0), F.col("rights") - 1), lambda r: F.struct(F.col("own_left").alias("l"), r.alias("r"))))
+             .withColumn("column", F.transform(F.sequence(F.lit(0), F.col("lefts") - 1), lambda l: F.struct(l.alias("l"), F.col("own_right").alias("r"))))
+             .withColumn("t", F.explode(F.when(outside, F.array_union("row", "column")).otherwise(F.col("row")))))
+    rows = (dealt.select("key", F.col("t.l").alias("l"), F.col("t.r").alias("r"), "node", "c", "n", (F.col("t.l") == F.col("own_left")).alias("is_left"),
+                         (outside & (F.col("t.r") == F.col("own_right"))).alias("is_right")).join(sets, "node"))
+    return rows.groupBy("key", "l", "r").applyInArrow(lambda table: _links_across(table, percent), "a long, b long")
+
+
 def _joined_up(groups: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component) after more links: the components of components."""
     if links.isEmpty():
@@ -173,7 +221,7 @@ def _joined_up(groups: DataFrame, links: DataFrame) -> DataFrame:
     return cut(moved.unionByName(new))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     signed = cut(signatures(docs, width))
     own = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
@@ -195,20 +243,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     groups = cut(components(links))
 
     placed = cut(crowded.join(groups, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c")))
-    per = placed.groupBy("key", "c").agg(F.count("*").alias("k"))
-    mixed = per.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("c", F.struct("k", "c")).alias("largest")).where("groups > 1")
-    inside = placed.join(mixed.select("key", "largest"), "key")
-    own_share = _unshared(sets.join(inside.select("node").distinct(), "node"))
-    inside = cut(inside.join(own_share, "node", "left").withColumn("o", F.col("n") - F.coalesce("unshared", F.lit(0))))
-    out = inside.where("c != largest").select("key", F.col("node").alias("p"), F.col("n").alias("np"), F.col("c").alias("cp"), F.col("o").alias("op"))
-    left = (inside.join(out, "key").where(f"c != cp and 100 * least(o, op) >= {percent} * (n + np - least(o, op))")
-            .groupBy(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).agg(F.count("*").alias("shared")))
-    left = cut(left.join(led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
-    likely = (ends.groupBy("a").agg(F.max_by("b", F.struct("shared", F.xxhash64("b"), "b")).alias("b"))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    groups = _joined_up(groups, cut(_confirmed(likely, sets, percent)))
-    groups = _joined_up(groups, cut(_confirmed(_across(left.join(likely, ["a", "b"], "left_anti"), groups), sets, percent)))
+    several = lambda rows: (rows.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key")
+                            .agg(F.count("*").alias("groups"), F.max_by("c", F.struct("k", "c")).alias("largest")).where("groups > 1").select("key", "largest"))
+    mixed = placed.join(several(placed).select("key"), "key")
+    own_share = _unshared(sets.join(mixed.select("node").distinct(), "node"))
+    open_ = cut(mixed.join(own_share, "node", "left").where(f"100 * (n - coalesce(unshared, 0)) >= {percent} * n").drop("unshared"))
+    links = cut(_confirmed_in_tiles(open_.join(several(open_), "key"), sets, percent, tile))
+    groups = _joined_up(groups, links)
 
     node_of = own.join(groups, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     return (signed.select("doc_id", "n_shingles", "set_key").join(node_of, "set_key", "left")

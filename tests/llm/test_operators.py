@@ -472,6 +472,47 @@ def test_near_duplicates(spark, no_docs):
     assert minmax.near_duplicates(no_docs).count() == 0
 
 
+def test_near_duplicates_of_a_large_group(spark, monkeypatch):
+    """Copies of one text with up to a third of its shingles changed: exact links, while pairs that are listed grow with the rows."""
+    rng = random.Random(8)
+    base = prose(rng, 120).split()
+    rows = []
+    for k in range(300):
+        text = list(base)
+        for at in rng.sample(range(120), rng.randint(1, 14)):
+            text[at] = f"{rng.choice(WORDS)}{k % 40}"
+        rows.append((k, " ".join(text)))
+    listed, confirmed = [], minmax._confirmed
+    monkeypatch.setattr(minmax, "_confirmed", lambda pairs, *rest: listed.append(pairs.count()) or confirmed(pairs, *rest))
+    size, comp = plain_near(rows, 4, 80)
+    want = sorted((d, n, c, d == c) for (d, _), n, c in zip(rows, size, comp))
+    assert 5 < len(set(comp)) < 295
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in minmax.near_duplicates(df, 4, 80).collect()) == want
+    assert sum(listed) <= 32 * len(rows)
+
+
+def test_tiles_of_a_large_bucket(spark):
+    """A bucket held against itself in many tiles gives the components of all its pairs, by one link for two components at most."""
+    rng = np.random.default_rng(5)
+    sets = {i: np.unique(rng.choice(80, 60, replace=False)).astype(np.uint64) for i in range(60)}
+    inside = spark.createDataFrame([(1, i, 60, i, 0) for i in sets], "key long, node long, n long, c long, largest long")
+    stored = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "node long, s binary")
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 64 * len(np.union1d(sets[a], sets[b]))}
+
+    def whole(pairs):
+        comp = {i: i for i in sets}
+        for _ in sets:
+            for a, b in pairs:
+                comp[a] = comp[b] = min(comp[a], comp[b])
+        return comp
+
+    for tile in (1 << 20, 700):
+        got = {(min(r), max(r)) for r in minmax._confirmed_in_tiles(inside, stored, 64, tile).collect()}
+        assert got <= links and whole(got) == whole(links)
+        assert tile == 700 or len(got) == len(sets) - len(set(whole(links).values()))
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     rows, k = [], 0
