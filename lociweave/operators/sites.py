@@ -73,17 +73,47 @@ def located_windows(aln: DataFrame, width: int, keep: Sequence[str] = ()) -> Dat
     )
 
 
-_PLACE = [f"{f}_{s}" for s in TRIO for f in ("chr", "start", "strand", "len")]
+def site_windows(seqs: Sequence[str], width: int, changed: bool) -> np.ndarray:
+    """Flat int array (column, bases before it in each sequence) per informative window: ACGT only, equal flanks, outgroup's inner
+    bases shared with an ingroup. With `changed`, only where the other ingroup's differ."""
+    codes = np.stack([np.frombuffer(s.encode("latin-1", "replace"), np.uint8) for s in seqs])
+    starts = codes.shape[1] - width + 1
+    if starts < 1:
+        return np.zeros(0, np.int64)
+    whole, letter = _BASE[codes].all(axis=0), codes & 0xDF  # upper case; compared at bases only
+    with_b, with_c = letter[0] == letter[1], letter[0] == letter[2]
+    every = lambda mask, first, n: np.all([mask[first + i:first + i + starts] for i in range(n)], axis=0)
+    same = with_b & with_c
+    fits = every(whole, 0, width) & every(same, 0, 1) & every(same, width - 1, 1)
+    b, c = every(with_b, 1, width - 2), every(with_c, 1, width - 2)
+    at = np.flatnonzero(fits & ((b != c) if changed else (b | c)))
+    gap = codes == GAP
+    before = at - (gap.cumsum(axis=1) - gap)[:, at]
+    return np.column_stack((at, before.T)).astype(np.int64).ravel()
+
+
+def _site_windows3(width: int, changed: bool):
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def found(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([site_windows(t, width, changed) for t in zip(a, b, c)])
+    return found.asNondeterministic()  # as for _runs3
+
+
+def informative_windows(aln: DataFrame, width: int, keep: Sequence[str] = (), changed: bool = False) -> DataFrame:
+    """The informative ones of `located_windows`, with the same columns; other columns of a block are never rows."""
+    fields = 1 + len(TRIO)
+    upper = [F.upper(F.col(f"seq_{s}")).cast("binary").alias(f"_s_{s}") for s in TRIO]
+    found = aln.select(*keep, *upper, _site_windows3(width, changed)("seq_a", "seq_b", "seq_c").alias("_w"))
+    each = found.select(*keep, *[f"_s_{s}" for s in TRIO], "_w",
+                        F.explode(F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - fields, F.lit(fields)))).alias("_k"))
+    at = lambda i: F.get("_w", F.col("_k") + i)
+    return each.select(
+        *keep, at(0).alias("col"),
+        *[F.substring(F.col(f"_s_{s}"), (at(0) + 1).cast("int"), F.lit(width)).cast("string").alias(f"win_{s}") for s in TRIO],
+        *[at(1 + i).alias(f"off_{s}") for i, s in enumerate(TRIO)])
 
 
-def _informative(width: int) -> Column:
-    """Equal flanks and outgroup middle shared with an ingroup (located windows are ACGT-only)."""
-    at = lambda s, i, n=1: F.substring(F.col(f"win_{s}"), i, n)
-    ends = F.lit(True)
-    for s in "bc":
-        ends = ends & (at("a", 1) == at(s, 1)) & (at("a", width) == at(s, width))
-    inner = width - 2
-    return ends & ((at("a", 2, inner) == at("b", 2, inner)) | (at("a", 2, inner) == at("c", 2, inner)))
+_PLACE = [f"{f}_{s}" for s in TRIO for f in ("chr", "start", "strand", "len")]
 
 
 def _span(side: str, width: int, coords: str) -> tuple[Column, Column]:
@@ -111,13 +141,13 @@ def _place_columns(width: int, coords: str, text) -> list[Column]:
 def sbst_sites(aln: DataFrame, keep: Sequence[str] = (), coords: str = "base") -> DataFrame:
     """Sites changed in exactly one ingroup, 15 columns."""
     mids = [B.base_at(f"win_{s}", 2) for s in TRIO]
-    w = located_windows(aln, 3, [*keep, *_PLACE]).where(_informative(3) & B.site_class(*mids).isin("B", "C"))
+    w = informative_windows(aln, 3, [*keep, *_PLACE], changed=True).where(B.site_class(*mids).isin("B", "C"))
     return w.select(*keep, *_place_columns(3, coords, lambda s: F.col(f"win_{s}")))
 
 
 def counted_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every counted site once: 15 columns, oriType, sbstB and sbstC ('.' if unchanged)."""
-    w = located_windows(aln, 3, [*keep, *_PLACE]).where(_informative(3))
+    w = informative_windows(aln, 3, [*keep, *_PLACE])
     changed = lambda s: F.when(B.base_at("win_a", 2) != B.base_at(f"win_{s}", 2),
                                B.sbst_label("win_a", B.base_at(f"win_{s}", 2))).otherwise(F.lit("."))
     return w.select(*keep, *_place_columns(3, "base", lambda s: F.col(f"win_{s}")),
@@ -136,7 +166,7 @@ def all_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def doublet_sites(aln: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Doublets with both bases changed in an ingroup; spans cover the two bases."""
     mid = lambda s: F.substring(F.col(f"win_{s}"), 2, 2)
-    w = located_windows(aln, 4, [*keep, *_PLACE]).where(_informative(4))
+    w = informative_windows(aln, 4, [*keep, *_PLACE], changed=True)
     label = lambda s: F.when(B.both_bases_differ(mid("a"), mid(s)), F.concat(mid("a"), F.lit(">"), mid(s)))
     w = w.withColumn("_b", label("b")).withColumn("_c", label("c")).where("_b is not null or _c is not null")
     sites = w.select(*keep, *_place_columns(4, "base", mid), "_b", "_c")

@@ -193,3 +193,22 @@ def test_trio_plan_equals_its_parts(spark):
             assert ident[r["trio"], s.upper()] == r["identity"]
         for r in S.gc_content(aln.select("trio", F.col(f"seq_{s}").alias("seq")), ["trio"]).collect():
             assert gc[r["trio"], s.upper()] == r["gc_pct"]
+
+
+@pytest.mark.parametrize("width", [3, 4])
+def test_site_windows_are_the_informative_ones(width):
+    rng = random.Random(width)
+    for n in (0, 2, 400):
+        a = [rng.choice("ACGTacgt-N") for _ in range(n)]
+        b, c = ([rng.choice("ACGT-") if rng.random() < 0.15 else x for x in a] for _ in "bc")
+        seqs, want = ["".join(s) for s in (a, b, c)], {True: [], False: []}
+        for i in range(n - width + 1):
+            x, y, z = (s[i:i + width].upper() for s in seqs)
+            if set(x + y + z) <= set("ACGT") and x[0] == y[0] == z[0] and x[-1] == y[-1] == z[-1] and x in (y, z):
+                row = [i, *(i - s[:i].count("-") for s in seqs)]
+                want[False].append(row)
+                if y != z:
+                    want[True].append(row)
+        assert n < 400 or want[True]
+        for changed in (True, False):
+            assert sites.site_windows(seqs, width, changed).reshape(-1, 4).tolist() == want[changed]
