@@ -76,3 +76,29 @@ def test_membership_has_no_false_no(spark):
     assert true <= seen and len(seen) < len(true) + 200
     text = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     assert {r["k"] for r in membership.flagged(text, text.where("k = 'a'"), "k").where("_maybe").collect()} >= {"a"}
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 20])
+def test_base_codes_against_a_walk(monkeypatch, chunk):
+    monkeypatch.setattr(coding, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    made = [["".join(rng.choice("ACGTacgt-N") for _ in range(n))] * 3 for n in (0, 1, 2, 40, 0, 90)]
+    made = [[q[0], *("".join(x if rng.random() < 0.8 else rng.choice("ACGT-") for x in q[0]) for _ in "bc")] for q in made]
+    want = []
+    for a, b, c in (map(str.upper, q) for q in made):
+        for i, x in enumerate(a):
+            wins = [q[i - 1:i + 2] if 0 < i < len(a) - 1 else "" for q in (a, b, c)]
+            good = all(len(w) == 3 and set(w) <= set("ACGT") for w in wins) and len({w[0] + w[2] for w in wins}) == 1 and wins[0][1] in (wins[1][1], wins[2][1])
+            want += [tuple(wins) if good else None] * (x != "-")
+    seqs = [np.frombuffer("".join(q[k] for q in made).encode(), np.uint8) for k in range(3)]
+    codes, bases = coding.base_codes(seqs, np.array([len(q[0]) for q in made]))
+    assert [None if k < 0 else tuple(w[int(k)].as_py() for w in coding._WINDOWS) for k in codes] == want
+    assert bases.tolist() == [len(q[0].replace("-", "")) for q in made] and sum(w is not None for w in want) > 5
+
+
+def test_no_window_is_a_row(spark):
+    """Sequences don't go through the exchange, and the plan makes no rows of positions."""
+    aln = blocks(spark, random.Random(5), 30)
+    features = spark.createDataFrame([("c1", 0, 50)], "chr string, start long, end long")
+    plan = coding.coding_window_counts(aln, features)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "explode" not in plan
