@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import extended, map_batches, text_of
+from .common import extended, kept, map_batches, text_of
 
 #: Entries of a cache of pieces or of token pairs; the pieces seen last stay in one of two caches.
 CACHE = 250_000
@@ -183,16 +183,10 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def _codec(shared) -> Codec:
     """The worker's codec for a broadcast vocabulary; workers are used again by later tasks."""
     tokens, pattern, key = shared.value
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(tokens, pattern)
-    return _codecs[key]
+    return kept(key, lambda: Codec(tokens, pattern))
 
 
 def _share(docs: DataFrame, path: str, pattern: str):

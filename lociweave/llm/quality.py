@@ -29,6 +29,8 @@ SAMPLE = 4000
 WORDS = 1 << 13
 FACTORS = 8
 EPOCHS = 12
+#: Words whose columns a task remembers, about 20 MB; most words of a large collection are seen once.
+REMEMBERED = 100_000
 #: Of the bytes: upper case, lower case, digits, other printable ASCII, space, line end, parts of other characters.
 _KIND = np.select(
     [(np.arange(256) >= lo) & (np.arange(256) <= hi) for lo, hi in ((65, 90), (97, 122), (48, 57), (10, 10), (32, 32), (128, 255), (33, 126))],
@@ -66,7 +68,7 @@ class Reader:
     def row(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         words = text.split()
         known = self.column
-        if len(known) > 500_000:
+        if len(known) > REMEMBERED:
             known.clear()
         for w in words:
             if w not in known:
