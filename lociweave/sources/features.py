@@ -16,8 +16,10 @@ def parse_attributes(text: str | Column) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     items = F.filter(F.transform(F.split(c, ";"), lambda p: F.trim(p)), lambda p: p.contains("="))
     pairs = F.transform(items, lambda p: F.struct(F.split_part(p, F.lit("="), F.lit(1)).alias("key"), after_equals(p).alias("value")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    # as a lambda's variable the pairs are made once, not again for each of them
+    last = F.transform(F.array(pairs), lambda all_: F.filter(
+        all_, lambda p, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda q: q["key"] == p["key"])))
+    return F.map_from_entries(F.get(last, F.lit(0)))
 
 
 def read_gff(spark: SparkSession, path, types: Sequence[str] | None = None) -> DataFrame:

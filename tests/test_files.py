@@ -209,3 +209,11 @@ def test_clips_of_alignments(spark):
     df = spark.createDataFrame(rows, "aln_id long, seq_a string, seq_b string, r_start long, r_end long, r_len long")
     got = {r["aln_id"]: r["cigar"] for r in pairs.with_clips(pairs.alignment_stats(df, ["aln_id", "r_start", "r_end", "r_len"])).collect()}
     assert got == {1: "2=1D1I1=", 2: "3H2=1X1=2H"}
+
+
+def test_attributes_are_split_once(spark):
+    from lociweave.sources.features import parse_attributes
+
+    df = spark.createDataFrame([("ID=a; ID=b;note=x=y;z",), ("",), (None,)], "t string").select(parse_attributes("t").alias("m"))
+    assert [r["m"] for r in df.collect()] == [{"ID": "b", "note": "x=y"}, {}, None]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
