@@ -3,7 +3,7 @@
 The repeated stretches of the collection (see repeats.py) are indexed in shards. Each shard's suffixes are ordered once, which
 gives its transform: the symbols before each suffix, in the suffixes' order. The shards' transforms are merged without ordering
 suffixes again: the merge is a row of shard numbers, the interleave. Reading it from the start, each entry yields the next
-suffix of its shard and the symbols before that suffix, as many as fit into one number beside the entry's place; dealing the
+suffix of its shard and the symbols before that suffix, RUN at a time as the rank of their run; dealing the
 entries out by these symbols, in order, is the interleave of the suffixes that much longer. Two neighbours in the new order share their longer beginning exactly if
 their symbols are equal and no border lay between them before, so the blocks of suffixes with a common beginning of
 LENGTH bytes come along with the refinement: they are the repeated intervals.
@@ -23,6 +23,8 @@ from .repeats import Method, repeated_spans
 LENGTH = 50
 SEED = 20
 SHARDS = 4
+#: Symbols before a suffix that one round of the merge deals by; what is left over is dealt by eight or fewer.
+RUN = 16
 
 
 def _before_end(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,11 +36,11 @@ def _before_end(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _eight(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The eight bytes from every place as one number, zero beyond the content's end."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(8):
-        out = out << np.uint64(8) | np.where(left > k, padded[k:k + n], np.uint64(0))
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    out = np.ndarray(len(text), ">u8", padded, strides=(1,)).astype(np.uint64)
+    near = np.flatnonzero(left < 8)
+    beyond = (8 * (8 - left[near])).astype(np.uint64)
+    out[near] = out[near] >> beyond << beyond
     return out
 
 
@@ -61,16 +63,21 @@ def _ranks(key: np.ndarray, bits: int = 64) -> np.ndarray:
     return out
 
 
-def suffix_order(eight: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
-    """Places of a shard in the order of their first `length` bytes, by doubling."""
-    rank, done, n = _ranks(eight), 8, len(eight)
+def _doubled(rank: np.ndarray, left: np.ndarray, step: int) -> np.ndarray:
+    """Ranks of the suffixes by `step` more bytes than those that `rank` goes by."""
+    n, size = len(rank), int(rank.max(initial=0)) + 1
+    later = np.zeros(n, np.int64)
+    later[:n - step] = np.where(left[:n - step] > step, rank[step:], 0)
+    return _ranks(rank * size + later, (size * size).bit_length())
+
+
+def suffix_order(rank: np.ndarray, left: np.ndarray, done: int, length: int) -> np.ndarray:
+    """Places of a shard in the order of their first `length` bytes, by doubling, from ranks by their first `done` bytes."""
     while done < length:
         step = min(done, length - done)
-        later = np.zeros(n, np.int64)
-        later[:n - step] = np.where(left[:n - step] > step, rank[step:], 0)
-        rank = _ranks(rank * (n + 2) + later, ((n + 2) ** 2).bit_length())
+        rank = _doubled(rank, left, step)
         done += step
-    return _in_order(rank, n.bit_length())[0]
+    return _in_order(rank, int(rank.max(initial=0)).bit_length())[0]
 
 
 def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
@@ -79,28 +86,27 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
     text = np.frombuffer(b"".join(contents), np.uint8)
     place, left = _before_end(sizes)
     eight = _eight(text, left)
+    by_run = {8: _ranks(eight)}
+    if length >= RUN:
+        by_run[RUN] = _doubled(by_run[8], left, RUN - 8)
+    depth = max(by_run)
     wide = max(1, min(8, (64 - len(text).bit_length()) // 8))
-    padded, symbols = np.concatenate([np.zeros(wide, np.uint8), text]), np.zeros(len(text), np.uint64)
-    for k in range(wide):
-        symbols = symbols << np.uint64(8) | padded[k:k + len(text)]
 
     # the shards: whole contents, each shard's suffixes in order, its transform beside them
     goal = np.arange(1, shards + 1) * len(text) / shards
     ends = np.unique(np.concatenate([np.cumsum(sizes)[np.minimum(np.searchsorted(np.cumsum(sizes), goal), len(sizes) - 1)]]))
     orders, a = [], 0
     for b in ends.tolist():
-        orders.append(a + suffix_order(eight[a:b], left[a:b], length))
+        orders.append(a + suffix_order(by_run[depth][a:b], left[a:b], depth, length))
         a = b
     own = np.concatenate(orders).astype(np.int32)
     shard = np.repeat(np.arange(len(orders), dtype=np.uint8), [len(o) for o in orders])
-    transform, inside, rest = symbols[own], place[own].astype(np.int32), left[own].astype(np.int32)
+    inside, rest = place[own].astype(np.int32), left[own].astype(np.int32)
 
     # the first interleave is that of the suffixes' first bytes; entries whose suffix is shorter than the depth are over
-    depth = 8
     live = np.flatnonzero(rest >= depth).astype(np.int32)
-    key = eight[own[live]]
-    order = np.argsort(key)  # of equal ones any comes first: only their shards count
-    interleave, key = shard[live][order], key[order]
+    order, key = _in_order(by_run[depth][own[live]], len(text).bit_length())
+    interleave = shard[live][order]
     border = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
     while depth < length:
         if not len(interleave):
@@ -108,10 +114,14 @@ def merged_blocks(contents: list[bytes], length: int = LENGTH, shards: int = SHA
         # the k-th entry of a shard in the interleave is the k-th of its suffixes
         turn = _in_turn(interleave, live, len(orders))
         block = np.cumsum(border, dtype=np.int32)
-        step = min(wide, length - depth)
+        step = max((k for k in by_run if k <= length - depth), default=min(wide, length - depth))
         can = np.flatnonzero(inside[turn] >= step)
         turn, block = turn[can], block[can]
-        order, before = _in_order(transform[turn] & np.uint64((1 << 8 * step) - 1), 8 * step)
+        from_ = own[turn] - step
+        if step in by_run:
+            order, before = _in_order(by_run[step][from_], len(text).bit_length())
+        else:
+            order, before = _in_order(eight[from_] >> np.uint64(64 - 8 * step), 8 * step)
         block, interleave = block[order], shard[turn[order]]
         border = np.concatenate([[True], (before[1:] != before[:-1]) | (block[1:] != block[:-1])])[:len(before)]
         depth += step

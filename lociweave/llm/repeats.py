@@ -210,50 +210,66 @@ def _known(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return k[order], h[order]
 
 
-def _pieces(m: Method, w: np.ndarray, data: object, known: np.ndarray, hot: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int, bool, bytes]]:
-    """(seed key, first window, number of windows, hot, content) of a text's segments whose seed is known."""
+def _pieces(m: Method, w: np.ndarray, data: object, known: np.ndarray, hot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Seed keys, first windows, whether hot, and contents of a text's segments whose seed is known."""
     seeds, first, end = segments(m, w)
     if not len(seeds) or not len(known):
-        return
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), []
     key = _with_bucket(seeds, buckets)
     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-    for k in np.flatnonzero(known[at] == key).tolist():
-        a, b, x = int(first[k]), int(end[k]), int(key[k])
-        if hot[at[k]]:
-            for i in range(a, b):
-                yield x, i, 1, True, m.content(data, i, i + m.length)
-        else:
-            yield x, a, b - a, False, m.content(data, a, b + m.length - 1)
+    hit = np.flatnonzero(known[at] == key)
+    key, first, end, is_hot = key[hit], first[hit], end[hit], hot[at[hit]]
+    if is_hot.any():
+        number = np.where(is_hot, end - first, 1)
+        of, turn = _expanded(number)
+        key, is_hot, first = key[of], is_hot[of], first[of] + turn
+        end = np.where(is_hot, first + 1, end[of])
+    return key, first, is_hot, [m.content(data, a, b) for a, b in zip(first.tolist(), (end + (m.length - 1)).tolist())]
+
+
+def _expanded(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For `number` rows of each place in turn: the place, and the row's turn among those of its place."""
+    of = np.repeat(np.arange(len(number)), number)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
+
+
+def _distinct(keys: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of (key, digest), and where in it each distinct one begins."""
+    order = np.lexsort((digests, keys))
+    k, d = keys[order], digests[order]
+    return order, np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])[:len(k)])
 
 
 def _segment_rows(docs: DataFrame, seeds: DataFrame, m: Method, buckets: int) -> DataFrame:
     """(part, g, keys, hot, counts, least, sizes, contents): distinct segments of each document group, dealt by seed, or by content where hot."""
     def of_group(texts: pa.Table, known_rows: pa.Table) -> pa.Table:
         known, hot = _known(known_rows, buckets)
-        found: dict[tuple[int, bytes], list] = {}
+        keys, hots, docs_, contents = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], []
         if len(known):
             for d, t in zip(texts.column("doc_id").to_pylist(), texts.column("_text").to_pylist()):
-                d = LAST if d is None else d
-                w, data = m.symbols(t)
-                for key, _, _, is_hot, content in _pieces(m, w, data, known, hot, buckets):
-                    e = found.get((key, content))
-                    if e is None:
-                        found[key, content] = [1, d, is_hot]
-                    else:
-                        e[0] += 1
-                        if d < e[1]:
-                            e[1] = d
-        parts: dict[int, list] = {}
-        for (key, content), (n, d, is_hot) in found.items():
-            place = (xxhash.xxh3_64_intdigest(content) if is_hot else key * 0x9E3779B97F4A7C15 >> 20) % buckets
-            parts.setdefault(place, []).append((key, is_hot, n, d, content))
+                key, _, is_hot, own = _pieces(m, *m.symbols(t), known, hot, buckets)
+                keys.append(key)
+                hots.append(is_hot)
+                docs_.append(np.full(len(key), LAST if d is None else d, np.int64))
+                contents += own
+        key, is_hot, digest = np.concatenate(keys), np.concatenate(hots), _digests(contents)
+        order, begin = _distinct(key, digest)
+        n = np.diff(np.append(begin, len(order)))
+        least = np.minimum.reduceat(np.concatenate(docs_)[order], begin) if len(begin) else np.zeros(0, np.int64)
+        one = order[begin]
+        key, is_hot, digest = key[one], is_hot[one], digest[one]
+        with np.errstate(over="ignore"):
+            mixed = key * _MIX >> np.uint64(20)
+        place = (np.where(is_hot, digest, mixed) % np.uint64(buckets)).astype(np.int32)
+        by_place = np.argsort(place, kind="stable")
+        parts = {where: by_place[rows] for where, rows in _cuts(place[by_place])}
         g = known_rows.column("g")[0].as_py() if known_rows.num_rows else 0
         cols: list[list] = [[] for _ in range(8)]
-        for place, rows in parts.items():
+        for where, rows in parts.items():
+            texts_ = [contents[i] for i in one[rows].tolist()]
             for c, v in zip(cols, (
-                    place, g, np.array([r[0] for r in rows], np.uint64).tobytes(), np.array([r[1] for r in rows], np.uint8).tobytes(),
-                    _pack(np.array([r[2] for r in rows], np.int64)), _pack(np.array([r[3] for r in rows], np.int64)),
-                    _pack(np.array([len(r[4]) for r in rows], np.int32)), zstandard.ZstdCompressor(level=1).compress(b"".join(r[4] for r in rows)))):
+                    where, g, key[rows].tobytes(), is_hot[rows].astype(np.uint8).tobytes(), _pack(n[rows]), _pack(least[rows]),
+                    _pack(np.fromiter(map(len, texts_), np.int32, len(texts_))), zstandard.ZstdCompressor(level=1).compress(b"".join(texts_)))):
                 c.append(v)
         names = ("part", "g", "keys", "hot", "counts", "least", "sizes", "contents")
         return pa.table({n: pa.array(c, pa.int32() if k < 2 else pa.binary()) for k, (n, c) in enumerate(zip(names, cols))})
@@ -261,8 +277,8 @@ def _segment_rows(docs: DataFrame, seeds: DataFrame, m: Method, buckets: int) ->
             .applyInArrow(of_group, "part int, g int, keys binary, hot binary, counts binary, least binary, sizes binary, contents binary"))
 
 
-def _digest(content: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(content)
+def _digests(contents: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, contents), np.uint64, len(contents))
 
 
 #: Bytes of distinct contents that are indexed at a time; a seed's contents stay together.
@@ -272,74 +288,72 @@ INDEXED = 1 << 18
 def _found_rows(rows: DataFrame, m: Method) -> DataFrame:
     """(g, keys, digests, hot, first, number, owner): runs of windows of a segment that are repeated, with the smallest document that has them (0: any)."""
     def of_part(table: pa.Table) -> pa.Table:
-        index: dict[tuple[int, bytes], list] = {}
-        seen: dict[int, list] = {}
-        for g, keys, hot, counts, least, sizes, contents in zip(*(table.column(c).to_pylist() for c in ("g", "keys", "hot", "counts", "least", "sizes", "contents"))):
-            keys, hot, counts, least, sizes = np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(hot, np.uint8).tolist(), _unpack(counts, np.int64).tolist(), _unpack(least, np.int64).tolist(), _unpack(sizes, np.int32).tolist()
-            raw, at, own = zstandard.ZstdDecompressor().decompress(contents), 0, seen.setdefault(g, [])
-            for key, h, n, d, size in zip(keys, hot, counts, least, sizes):
-                content = raw[at:at + size]
-                at += size
-                e = index.get((key, content))
-                if e is None:
-                    e = index[key, content] = [n, d, h, None]
-                else:
-                    e[0] += n
-                    if d < e[1]:
-                        e[1] = d
-                own.append(((key, content), n, d))
-        order = sorted(index, key=lambda x: x[0])
-        start, held = 0, 0
-        for k, x in enumerate(order):
-            held += len(x[1])
-            if k + 1 == len(order) or held >= INDEXED and order[k + 1][0] != x[0]:
-                _runs(m, order[start:k + 1], index)
-                start, held = k + 1, 0
+        rows_, contents = [], []
+        for keys, hot, counts, least, sizes, joined in zip(*(table.column(c).to_pylist() for c in ("keys", "hot", "counts", "least", "sizes", "contents"))):
+            raw, ends = zstandard.ZstdDecompressor().decompress(joined), np.cumsum(_unpack(sizes, np.int32), dtype=np.int64)
+            rows_.append((np.frombuffer(keys, np.uint64), np.frombuffer(hot, np.uint8), _unpack(counts, np.int64), _unpack(least, np.int64)))
+            contents += [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        key, hot, n, least = (np.concatenate(c) for c in zip(*rows_))
+        digest = _digests(contents)
+        order, begin = _distinct(key, digest)
+        entry = np.empty(len(order), np.int64)  # each row's number among the distinct contents
+        entry[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+        texts = [contents[i] for i in order[begin].tolist()]
+        total, owner_of, seed = np.add.reduceat(n[order], begin), np.minimum.reduceat(least[order], begin), key[order[begin]]
+        heads = np.append(np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])), len(seed)).tolist()
+        found, start, held = [], 0, 0
+        for a, b in zip(heads[:-1], heads[1:]):
+            held += sum(map(len, texts[a:b]))
+            if held >= INDEXED or b == len(seed):
+                of, *rest = _runs(m, texts[start:b], total[start:b], owner_of[start:b])
+                found.append((of + start, *rest))
+                start, held = b, 0
+        of, first, number, owner = (np.concatenate(c) for c in zip(*found))
+        runs = np.bincount(of, minlength=len(seed))
+        row, turn = _expanded(runs[entry])
+        run = (np.cumsum(runs) - runs)[entry[row]] + turn
+        if m.across:  # a group whose only holder is the owner itself has nothing to remove
+            some = (owner[run] < least[row]) | (n[row] > 1)
+            row, run = row[some], run[some]
         out: list[tuple] = []
-        for g, own in seen.items():
-            r: list[tuple] = []
-            for x, n, d in own:
-                e = index[x]
-                for first, number, owner in e[3]:
-                    # a group whose only holder is the owner itself has nothing to remove
-                    if not m.across or owner < d or n > 1:
-                        r.append((x[0], _digest(x[1]), e[2], first, number, owner))
-            if r:
-                out.append((g, np.array([v[0] for v in r], np.uint64).tobytes(), np.array([v[1] for v in r], np.uint64).tobytes(),
-                            *(_pack(np.array([v[k] for v in r], kind)) for k, kind in ((2, np.uint8), (3, np.int32), (4, np.int32), (5, np.int64)))))
+        ends = np.searchsorted(row, np.cumsum([len(r[0]) for r in rows_]))
+        for g, a, b in zip(table.column("g").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            if b > a:
+                r, x = row[a:b], run[a:b]
+                out.append((g, key[r].tobytes(), digest[r].tobytes(), _pack(hot[r]), _pack(first[x].astype(np.int32)), _pack(number[x].astype(np.int32)), _pack(owner[x])))
         names = ("g", "keys", "digests", "hot", "first", "number", "owner")
         return pa.table({n: pa.array([r[k] for r in out], pa.int32() if k == 0 else pa.binary()) for k, n in enumerate(names)})
     return rows.groupBy("part").applyInArrow(of_part, "g int, keys binary, digests binary, hot binary, first binary, number binary, owner binary")
 
 
-def _runs(m: Method, order: list[tuple[int, bytes]], index: dict) -> None:
-    """Notes with each content the runs of its windows that are repeated."""
-    contents = [c for _, c in order]
-    windows = np.array([m.size(c) - m.length + 1 for c in contents], np.int64)
+def _runs(m: Method, contents: list[bytes], counts: np.ndarray, leasts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(content, first, number, owner), in the contents' order: the runs of windows of each content that are repeated."""
+    windows = np.fromiter(map(m.size, contents), np.int64, len(contents)) - (m.length - 1)
     number = m.classes(contents)
     of_content = np.repeat(np.arange(len(contents)), windows)
-    entries = [index[x] for x in order]
     n_classes = int(number.max()) + 1 if len(number) else 0
     if m.across:
-        least = np.array([e[1] for e in entries], np.int64)[of_content]
         owner = np.full(n_classes, LAST, np.int64)
-        np.minimum.at(owner, number, least)
+        np.minimum.at(owner, number, leasts[of_content])
         value = owner[number]
     else:
-        count = np.bincount(number, np.array([e[0] for e in entries], np.float64)[of_content], n_classes)
+        count = np.bincount(number, counts.astype(np.float64)[of_content], n_classes)
         value = np.where(count[number] > 1, 0, -1).astype(np.int64)
-    ends = np.cumsum(windows)
+    begin = np.cumsum(windows) - windows
     new = np.ones(len(value), bool)
     new[1:] = value[1:] != value[:-1]
-    new[(ends - windows)[windows > 0]] = True
+    new[begin[windows > 0]] = True
     at = np.flatnonzero(new)
     stop = np.append(at[1:], len(value))
-    for e in entries:
-        e[3] = []
-    for a, b in zip(at.tolist(), stop.tolist()):
-        if value[a] >= 0:
-            k = int(of_content[a])
-            entries[k][3].append((a - int(ends[k] - windows[k]), b - a, int(value[a])))
+    some = value[at] >= 0
+    at, stop = at[some], stop[some]
+    return of_content[at], at - begin[of_content[at]], stop - at, value[at]
+
+
+def _code(keys: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    """One number that stands for both while they are looked up."""
+    with np.errstate(over="ignore"):
+        return keys * _MIX ^ digests
 
 
 def repeated_spans(docs: DataFrame, m: Method, finish: Callable[[object, np.ndarray], tuple], schema: str) -> DataFrame:
@@ -353,25 +367,32 @@ def repeated_spans(docs: DataFrame, m: Method, finish: Callable[[object, np.ndar
     arrow = to_arrow_schema(StructType.fromDDL(f"doc_id long, {schema}"))
 
     def of_group(texts: pa.Table, runs: pa.Table) -> pa.Table:
-        known: dict[tuple[int, int], list] = {}
-        hot_of: dict[int, bool] = {}
-        for keys, digests, hot, first, number, owner in zip(*(runs.column(c).to_pylist() for c in ("keys", "digests", "hot", "first", "number", "owner"))):
-            for key, digest, h, a, n, o in zip(np.frombuffer(keys, np.uint64).tolist(), np.frombuffer(digests, np.uint64).tolist(), _unpack(hot, np.uint8).tolist(),
-                                               _unpack(first, np.int32).tolist(), _unpack(number, np.int32).tolist(), _unpack(owner, np.int64).tolist()):
-                known.setdefault((key, digest), []).append((a, n, o))
-                hot_of[key] = bool(h)
-        keys = np.array(sorted(hot_of), np.uint64)
-        is_hot = np.array([hot_of[k] for k in keys.tolist()], bool)
+        kinds = (np.uint64, np.uint64, np.uint8, np.int32, np.int32, np.int64)
+        rows_ = [[np.zeros(0, k) for k in kinds]]
+        for r in zip(*(runs.column(c).to_pylist() for c in ("keys", "digests", "hot", "first", "number", "owner"))):
+            rows_.append([*(np.frombuffer(b, k) for b, k in zip(r[:2], kinds)), *(_unpack(b, k) for b, k in zip(r[2:], kinds[2:]))])
+        of, digest, hot, first, number, owner = (np.concatenate(c) for c in zip(*rows_))
+        keys, one = np.unique(of, return_index=True)
+        is_hot = hot[one].astype(bool)
+        code = _code(of, digest)
+        order = np.argsort(code)
+        code, of, digest, first, number, owner = (c[order] for c in (code, of, digest, first, number, owner))
         out = []
         for d, t in zip(texts.column("doc_id").to_pylist(), texts.column("_text").to_pylist()):
             w, data = m.symbols(t)
-            cover = np.zeros(len(w) + 1, np.int64)
             least = LAST if d is None else d
-            for key, start, _, _, content in _pieces(m, w, data, keys, is_hot, width):
-                for a, n, o in known.get((key, _digest(content)), ()):
-                    if not m.across or o < least:
-                        cover[start + a] += 1
-                        cover[start + a + n + m.length - 1] -= 1
+            key, start, _, contents = _pieces(m, w, data, keys, is_hot, width)
+            mine = _digests(contents)
+            asked = _code(key, mine)
+            low = np.searchsorted(code, asked, "left")
+            piece, turn = _expanded(np.searchsorted(code, asked, "right") - low)
+            run = low[piece] + turn
+            met = (of[run] == key[piece]) & (digest[run] == mine[piece])
+            if m.across:
+                met &= owner[run] < least
+            piece, run = piece[met], run[met]
+            a = start[piece] + first[run]
+            cover = np.bincount(a, minlength=len(w) + 1) - np.bincount(a + number[run] + (m.length - 1), minlength=len(w) + 1)
             out.append((d, *finish(data, np.cumsum(cover)[:-1] > 0)))
         return pa.table([pa.array([r[k] for r in out], f.type) for k, f in enumerate(arrow)], schema=arrow)
 

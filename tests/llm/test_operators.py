@@ -111,6 +111,20 @@ def test_transforms_are_merged_several_symbols_a_round(monkeypatch):
     assert places.tolist() == [3, 1, 0, 2] and key.tolist() == [0, 1, 5, 5]
 
 
+def test_a_round_of_the_merge_deals_by_a_run(monkeypatch):
+    """16 symbols a round, as the rank of their run: three rounds from 16 to 50 bytes, and the blocks are read once."""
+    rounds, turn, rng = [], bwt_merge._in_turn, random.Random(8)
+    monkeypatch.setattr(bwt_merge, "_in_turn", lambda *a: rounds.append(1) or turn(*a))
+    base = bytes(rng.choice(b"ab\0") for _ in range(3000))
+    contents = list(dict.fromkeys(base[a:a + rng.randrange(50, 300)] for a in (rng.randrange(2700) for _ in range(60))))
+    windows = [c[i:i + 50] for c in contents for i in range(len(c) - 49)]
+    got = bwt_merge.classes(contents).tolist()
+    assert len(set(zip(got, windows))) == len(set(got)) == len(set(windows))
+    assert len(rounds) <= 4
+    text, left = np.frombuffer(b"abcdefghij", np.uint8), np.array([7, 6, 5, 4, 3, 2, 1, 3, 2, 1])
+    assert [int(x).to_bytes(8, "big") for x in bwt_merge._eight(text, left)] == [bytes(text[k:k + n]).ljust(8, b"\0") for k, n in enumerate(left)]
+
+
 def test_differencing_decides_among_named_articles(spark):
     """An article element that the neighbour has too is template; a passage that two articles share stays."""
     page = lambda own: (f"<body><nav>Menu</nav><p>Site</p><article><h1>{own}</h1><p>A shared passage</p><p>{own} ends</p></article>"
