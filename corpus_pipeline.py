@@ -36,6 +36,7 @@ def _by_key(keyed: DataFrame) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: that of the smallest id, null last. Rows are told apart by id and text; of equal ones, one stays."""
     from lociweave.llm import minmax
+    from lociweave.operators.membership import split_by
     from lociweave.session import cut_lineage
 
     keyed = _keyed(docs)
@@ -43,20 +44,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = keyed.groupBy("_row_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     placed = cut_lineage(rows.join(groups, "_row_key").withColumn("place", F.struct(F.col("id").isNull(), "id", "_row_key")))
     first = placed.groupBy("component_id").agg(F.min("place").alias("first"))
-    others = placed.join(first, "component_id").where("place != first").select("_row_key")
-    left = keyed.join(others, "_row_key", "left_anti")
+    others = cut_lineage(placed.join(first, "component_id").where("place != first").select("_row_key"))
     repeated = placed.where("n > 1").select("_row_key")
+    near, far = split_by(keyed, others.unionByName(repeated), "_row_key")  # rows that surely stay as they are aren't moved
+    left = near.join(others, "_row_key", "left_anti")
     once = left.join(repeated, "_row_key", "left_anti")
-    return once.unionByName(left.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])).select(docs.columns)
+    return far.unionByName(once).unionByName(left.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage; rows are told apart by id and text."""
     from lociweave.llm import decontaminate
+    from lociweave.operators.membership import split_by
+    from lociweave.session import cut_lineage
 
     keyed = _keyed(docs)
-    found = decontaminate.contaminated(_by_key(keyed), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_row_key")).distinct()
-    return keyed.join(found, "_row_key", "left_anti").select(docs.columns)
+    found = cut_lineage(decontaminate.contaminated(_by_key(keyed), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+                        .select(F.col("doc_id").alias("_row_key")).distinct())
+    near, far = split_by(keyed, found, "_row_key")
+    return far.unionByName(near.join(found, "_row_key", "left_anti")).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,10 +23,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import extended, kept, map_batches, text_of
+from .common import AT_ONCE, extended, kept, map_batches, text_of
 
 #: Entries of a cache of pieces or of token pairs; the pieces seen last stay in one of two caches.
-CACHE = 250_000
+CACHE = 50_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -212,4 +212,4 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
         return step
 
     rows = docs.select(*keep, text_of(text).alias("_text"))
-    return map_batches(rows, make, extended(docs, keep, "ids binary, decoded binary"))
+    return map_batches(rows, make, extended(docs, keep, "ids binary, decoded binary"), AT_ONCE)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BITS, bit_map, cut, map_batches, text_of
+from .common import AT_ONCE, BITS, bit_map, cut, map_batches, text_of
 from .components import components
 
 BANDS = 32
@@ -99,7 +99,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 ["doc_id", "n_shingles", "set_key", "bands"])
         return step
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")), make,
-                       "doc_id long, n_shingles long, set_key binary, bands array<long>")
+                       "doc_id long, n_shingles long, set_key binary, bands array<long>", AT_ONCE)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -120,7 +120,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     # only texts that may be needed are exchanged; where the map is full, all are
     rows = docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("_text"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
     texts = map_batches(rows, near, "node long, _text string, h long").join(nodes, "node", "left_semi")
-    return map_batches(texts, make, "node long, s binary").where("octet_length(s) > 0")
+    return map_batches(texts, make, "node long, s binary", AT_ONCE).where("octet_length(s) > 0")
 
 
 def _unshared(sets: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return step
     joined = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b"))
-    return map_batches(joined, make, "a long, b long")
+    return map_batches(joined, make, "a long, b long", AT_ONCE)
 
 
 def _sizes_agree(x: str, y: str, percent: int) -> str:

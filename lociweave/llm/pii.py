@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import extended, map_batches, text_of
+from .common import AT_ONCE, extended, map_batches, text_of
 from .samples import draw, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -436,7 +436,7 @@ def find(docs: DataFrame, field: Field | None, keep: tuple[str, ...] = ("doc_id"
         return step
 
     rows = docs.select(*keep, text_of().alias("_text"))
-    return map_batches(rows, make, extended(docs, keep, f"base {SPANS}, spans {SPANS}{', masked string' * masked}"))
+    return map_batches(rows, make, extended(docs, keep, f"base {SPANS}, spans {SPANS}{', masked string' * masked}"), AT_ONCE)
 
 
 def mask(text: str, spans: list[Span]) -> str:
