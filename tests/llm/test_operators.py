@@ -573,6 +573,35 @@ def test_dense_group_recall(spark):
     assert true > 50_000 and 0.99 * true <= found <= true + 2
 
 
+def test_long_lists_in_chunks(spark):
+    """Lists dealt over many tasks give each link once, and no more rows than lists that a vector is in, however many links."""
+    rng = np.random.default_rng(13)
+    centre = rng.normal(size=16)
+    x = np.vstack([centre + rng.normal(size=(300, 16)) * 0.05, rng.normal(size=(300, 16))]).astype(np.float32)
+    x[310:330] = x[5]
+    units = np.array([pivots._unit(v) for v in x.tolist()])
+    true = (units @ units.T >= 0.98).sum(axis=1) - 1
+    df = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    for chunk in (1 << 16, 70):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.near_duplicates(df, chunk=chunk).collect()}
+        assert [got[k][0] for k in range(len(x))] == true.tolist() and {got[k][1] for k in range(300)} == {0}
+    counts, parent = pivots.links_of(units, np.zeros(len(x), np.int64), np.ones(len(x), np.int64), 0, 0.98)
+    assert counts.tolist() == true.tolist() and (parent[:300] == 0).all()
+
+
+def test_recall_where_all_lie_close(spark):
+    """Vectors of mean cosine 0.9, a third of them in one dense group: few points lie apart."""
+    rng = np.random.default_rng(1)
+    mean = rng.normal(size=64)
+    x = rng.normal(size=(1500, 64)) / 3 * np.linalg.norm(mean) / 8 + mean
+    x[:500] = x[0] + rng.normal(size=(500, 64)) / 8 * 0.12 * np.linalg.norm(x[0])
+    units = np.array([pivots._unit(v) for v in x.tolist()])
+    true = (units @ units.T >= 0.98).sum() - len(x)
+    df = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in pivots.near_duplicates(df).collect())
+    assert true > 100_000 and 0.99 * true <= found <= true
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_stages_decide_by_row(spark, folder):
