@@ -7,15 +7,16 @@ where all species have one of the four; inside a run, offset = run offset + posi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import bases as B
 from ..functions.coords import to_plus
-from .windows import TRIO
+from .windows import LONG, TRIO
 
 GAP = ord("-")
 _BASE = np.zeros(256, bool)
@@ -77,40 +78,100 @@ def site_windows(seqs: Sequence[str], width: int, changed: bool) -> np.ndarray:
     """Flat int array (column, bases before it in each sequence) per informative window: ACGT only, equal flanks, outgroup's inner
     bases shared with an ingroup. With `changed`, only where the other ingroup's differ."""
     codes = np.stack([np.frombuffer(s.encode("latin-1", "replace"), np.uint8) for s in seqs])
+    at, gaps = _informative(codes, width, changed)
+    return np.column_stack((at, (at - gaps[:, at]).T)).astype(np.int64).ravel()
+
+
+def _informative(codes: np.ndarray, width: int, changed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Start columns of informative windows, and for each sequence and column the gaps before it."""
+    gap = codes == GAP
+    gaps = gap.cumsum(axis=1, dtype=np.int32) - gap
     starts = codes.shape[1] - width + 1
     if starts < 1:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), gaps
     whole, letter = _BASE[codes].all(axis=0), codes & 0xDF  # upper case; compared at bases only
     with_b, with_c = letter[0] == letter[1], letter[0] == letter[2]
     every = lambda mask, first, n: np.all([mask[first + i:first + i + starts] for i in range(n)], axis=0)
     same = with_b & with_c
     fits = every(whole, 0, width) & every(same, 0, 1) & every(same, width - 1, 1)
     b, c = every(with_b, 1, width - 2), every(with_c, 1, width - 2)
-    at = np.flatnonzero(fits & ((b != c) if changed else (b | c)))
-    gap = codes == GAP
-    before = at - (gap.cumsum(axis=1) - gap)[:, at]
-    return np.column_stack((at, before.T)).astype(np.int64).ravel()
-
-
-def _site_windows3(width: int, changed: bool):
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def found(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([site_windows(t, width, changed) for t in zip(a, b, c)])
-    return found.asNondeterministic()  # as for _runs3
+    return np.flatnonzero(fits & ((b != c) if changed else (b | c))), gaps
+
+
+#: Columns of blocks that are looked at together, and what parts them; no window lies over it.
+AT_ONCE, BETWEEN = 1 << 18, "#"
+
+
+def _parts(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, list[int], list[str]]]:
+    """(row, first column, bases before it in each sequence, sequences) of blocks in parts of LONG windows; a block without a sequence has none."""
+    for row, seqs in enumerate(zip(*(batch.column(f"seq_{s}").to_pylist() for s in TRIO))):
+        if any(q is None for q in seqs):
+            continue
+        if any(len(q) != len(seqs[0]) for q in seqs):
+            raise ValueError("aligned sequences of one block differ in length")
+        before = [0] * len(seqs)
+        for lo in range(0, len(seqs[0]) - width + 1, LONG):
+            yield row, lo, list(before), [q[lo:lo + LONG + width - 1] for q in seqs]
+            before = [n + len(q[lo:lo + LONG]) - q.count("-", lo, lo + LONG) for n, q in zip(before, seqs)]
+
+
+def _site_batches(batch: pa.RecordBatch, keep: Sequence[str], width: int, changed: bool) -> Iterator[pa.RecordBatch]:
+    """keep, _col, _off, _s_x and _w of parts of blocks: first column, bases before it, symbols in upper case, and for each window in the
+    part its column and the bases before it. A batch holds what AT_ONCE columns give, or one part."""
+    names = [*keep, "_col", "_off", *[f"_s_{s}" for s in TRIO], "_w"]
+
+    def made(parts) -> pa.RecordBatch:
+        rows, cols, before, seqs = zip(*parts)
+        sizes = np.fromiter((len(q[0]) + 1 for q in seqs), np.int32, len(seqs))
+        bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        codes = np.stack([np.frombuffer("".join(q[k] + BETWEEN for q in seqs).encode("latin-1", "replace"), np.uint8) for k in range(len(TRIO))])
+        at, gaps = _informative(codes, width, changed)
+        part = np.searchsorted(bounds, at, side="right") - 1
+        first = bounds[part]
+        column = at - first
+        windows = np.column_stack((column, (column - gaps[:, at] + gaps[:, first]).T)).astype(np.int32).ravel()
+        ends = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=len(seqs))))) * (1 + len(TRIO))
+        upper = codes & 0xDF
+        return pa.RecordBatch.from_arrays([
+            *(batch.column(c).take(pa.array(rows)) for c in keep), pa.array(cols, pa.int64()), pa.array(before, pa.list_(pa.int64())),
+            *(pa.Array.from_buffers(pa.binary(), len(seqs), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(u.tobytes())]) for u in upper),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(windows))], names)
+
+    held, size = [], 0
+    for part in _parts(batch, width):
+        if held and size + len(part[3][0]) > AT_ONCE:
+            yield made(held)
+            held, size = [], 0
+        held.append(part)
+        size += len(part[3][0])
+    if held:
+        yield made(held)
 
 
 def informative_windows(aln: DataFrame, width: int, keep: Sequence[str] = (), changed: bool = False) -> DataFrame:
-    """The informative ones of `located_windows`, with the same columns; other columns of a block are never rows."""
+    """The informative ones of `located_windows`, with the same columns; other columns of a block are never rows.
+
+    Windows are listed for parts of blocks, some megabytes at a time, so memory depends neither on a block's length nor on the rows of a batch.
+    """
     fields = 1 + len(TRIO)
-    upper = [F.upper(F.col(f"seq_{s}")).cast("binary").alias(f"_s_{s}") for s in TRIO]
-    found = aln.select(*keep, *upper, _site_windows3(width, changed)("seq_a", "seq_b", "seq_c").alias("_w"))
-    each = found.select(*keep, *[f"_s_{s}" for s in TRIO], "_w",
-                        F.explode(F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - fields, F.lit(fields)))).alias("_k"))
+    blocks = aln.select(*dict.fromkeys(keep), *[f"seq_{s}" for s in TRIO])
+    kept = blocks.select(*dict.fromkeys(keep))
+    schema = T.StructType([*kept.schema.fields, *T.StructType.fromDDL(
+        "_col long, _off array<long>, " + ", ".join(f"_s_{s} binary" for s in TRIO) + ", _w array<int>").fields])
+
+    columns = kept.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _site_batches(batch, columns, width, changed)
+
+    each = blocks.mapInArrow(run, schema).select(
+        "*", F.explode(F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - fields, F.lit(fields)))).alias("_k"))
     at = lambda i: F.get("_w", F.col("_k") + i)
     return each.select(
-        *keep, at(0).alias("col"),
-        *[F.substring(F.col(f"_s_{s}"), (at(0) + 1).cast("int"), F.lit(width)).cast("string").alias(f"win_{s}") for s in TRIO],
-        *[at(1 + i).alias(f"off_{s}") for i, s in enumerate(TRIO)])
+        *keep, (F.col("_col") + at(0)).alias("col"),
+        *[F.substring(F.col(f"_s_{s}"), at(0) + 1, F.lit(width)).cast("string").alias(f"win_{s}") for s in TRIO],
+        *[(F.get("_off", F.lit(i)) + at(1 + i)).alias(f"off_{s}") for i, s in enumerate(TRIO)])
 
 
 _PLACE = [f"{f}_{s}" for s in TRIO for f in ("chr", "start", "strand", "len")]

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +213,26 @@ def test_site_windows_are_the_informative_ones(width):
         assert n < 400 or want[True]
         for changed in (True, False):
             assert sites.site_windows(seqs, width, changed).reshape(-1, 4).tolist() == want[changed]
+
+
+@pytest.mark.parametrize("width", [3, 4])
+def test_site_batches_are_bounded(width, monkeypatch):
+    """Windows of many and of long blocks come in small batches, with the places that whole blocks give."""
+    rng = random.Random(21)
+    seqs = [tuple("".join(rng.choices("ACGTacgtN-", k=n)) for _ in range(3)) for n in [0, 1, 2, 3, 500, 64, 4, 129, 130, 131] * 3]
+    shared = [(a, "".join(x if rng.random() < 0.8 else y for x, y in zip(a, b)), "".join(x if rng.random() < 0.8 else y for x, y in zip(a, c))) for a, b, c in seqs]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(shared))), *(pa.array(c, pa.string()) for c in zip(*shared))], ["block", "seq_a", "seq_b", "seq_c"])
+    monkeypatch.setattr(sites, "LONG", 64)
+    monkeypatch.setattr(sites, "AT_ONCE", 300)
+    for changed in (False, True):
+        got = {}
+        for part in sites._site_batches(batch, ["block"], width, changed):
+            assert sum(len(s) for s in part.column("_s_a").to_pylist()) <= 300 + 64 + width + part.num_rows
+            for r in part.to_pylist():
+                for k in range(0, len(r["_w"]), 4):
+                    col, *off = r["_w"][k:k + 4]
+                    whole = shared[r["block"]]
+                    assert [r[f"_s_{s}"][col:col + width].decode() for s in "abc"] == [q[r["_col"] + col:r["_col"] + col + width].upper() for q in whole]
+                    got.setdefault(r["block"], []).append((r["_col"] + col, *(o + b for o, b in zip(off, r["_off"]))))
+        want = {i: list(map(tuple, sites.site_windows(q, width, changed).reshape(-1, 4).tolist())) for i, q in enumerate(shared)}
+        assert got == {i: w for i, w in want.items() if w} and any(len(w) > 20 for w in got.values())
