@@ -1,3 +1,4 @@
+from collections import Counter
 import random
 
 import numpy as np
@@ -163,3 +164,22 @@ def test_mapq(spark):
 def test_deletions(spark):
     df = spark.createDataFrame([("10H5=3D2=40D1I", ), ("3D",)], "cigar string")
     assert {r["length"]: r["count"] for r in R.deletion_lengths(df).collect()} == {3: 2, 40: 1}
+
+
+@pytest.mark.parametrize("stranded", [True, False])
+def test_flank_join_in_short_lists(spark, stranded):
+    """Lists of a few features each give every pair once: ties in start, equal rows and both chromosomes."""
+    rng = random.Random(31)
+    features = [(f"g{rng.randrange(2)}", s := rng.randrange(30), s + rng.choice([8, 8, 15]), rng.choice("+-"), k, rng.randrange(3)) for k in range(90)]
+    points = [(c, p, st) for c in ("g0", "g1") for p in (12, 20, 27) for st in "+-"]
+    ends = [(a, b) for a in points for b in points if a <= b]
+    place = "struct<chr string, pos long, strand string>"
+    introns = spark.createDataFrame(ends + ends[:9], f"left {place}, right {place}")
+    table = spark.createDataFrame(features, "chr string, start long, end long, strand string, feature_id long, gene long")
+    want = Counter((a, b, x[4], y[4]) for a, b in ends for x in features for y in features
+                   if x[0] == a[0] and x[1] < a[1] <= x[2] and y[0] == b[0] and y[1] <= b[1] < y[2] and x[5] != y[5]
+                   and x[:5] < y[:5] and (not stranded or x[3] == a[2] and y[3] == b[2]))
+    for listed in (1, 4, 1 << 10):
+        got = R.flank_join(introns, table, differ="gene", stranded=stranded, listed=listed)
+        assert got.columns[:3] == ["left", "right", "f1_start"] and "f2_gene" in got.columns
+        assert Counter((tuple(r.left), tuple(r.right), r.f1_feature_id, r.f2_feature_id) for r in got.collect()) == want and len(want) > 500
