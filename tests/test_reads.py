@@ -183,3 +183,29 @@ def test_flank_join_in_short_lists(spark, stranded):
         got = R.flank_join(introns, table, differ="gene", stranded=stranded, listed=listed)
         assert got.columns[:3] == ["left", "right", "f1_start"] and "f2_gene" in got.columns
         assert Counter((tuple(r.left), tuple(r.right), r.f1_feature_id, r.f2_feature_id) for r in got.collect()) == want and len(want) > 500
+
+
+def test_junctions_move_an_alignment_once(spark, folder):
+    """Reads are dealt once: what is behind is one row for each bucket of a read. Buckets and repeated ids change nothing."""
+    rng = random.Random(41)
+    rows = []
+    for read in range(60):
+        at = 0
+        for k in range(rng.randint(1, 6)):
+            size = rng.choice([50, 90_000])
+            aln = read * 10 + (k if rng.random() < 0.8 else max(0, k - 1))
+            rows.append((aln, f"r{read}", 1, 0.0, 1.0, rng.choice(["GT", None]), rng.choice(["AG", None]), "g0", 100 * k, 100 * k + 50, "+", 10_000, at, at + size, "+", 1_000_000))
+            at += size
+    reads = spark.createDataFrame(rows, READ)
+    facts = {r.r_id: (r.alignments, r.read_strand) for r in R.read_facts(reads).collect()}
+    want = Counter()
+    for read in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == read), key=lambda r: (r[12], r[0]))
+        n, strand = facts[read]
+        if n > 1 and strand:
+            for x, y in zip(own, own[1:]):
+                first, second = (x[0], y[0]) if strand == "+" else (y[0], x[0])
+                want.update((read, strand, first, second) for a in own if a[0] == first for b in own if b[0] == second)
+    got = R.junctions(reads, exact=False, parts=True)
+    assert Counter((r.r_id, r.read_strand, r.aln1_id, r.aln2_id) for r in got.collect()) == want and len(want) > 30
+    assert "REPARTITION_BY_COL" in got._jdf.queryExecution().executedPlan().toString()
